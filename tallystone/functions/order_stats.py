@@ -1,0 +1,51 @@
+"""Exact order statistics of groups of any size.
+
+The built-in exact percentile holds a group's whole value map in one task. Here values are first counted,
+then ranked in two bounded steps: cumulative counts over coarse value buckets find the bucket of each wanted
+rank, and only the distinct values of that bucket are ranked one by one.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+# Buckets are about 0.1 % wide, so one holds few distinct amounts and a group has a few thousand of them.
+BUCKETS_PER_E_FOLD = 1024
+
+
+def value_bucket(value: Column) -> Column:
+    """Order-preserving coarse bucket of a number."""
+    v = value.cast("double")
+    return (F.signum(v) * F.floor(F.ln(F.lit(1.0) + F.abs(v)) * BUCKETS_PER_E_FOLD)).cast("bigint")
+
+
+def grouped_median(counts: DataFrame, keys: list[str], value: str, count: str) -> DataFrame:
+    """Median per group of a table of distinct values and their counts: (keys, median, n).
+
+    An even count averages the two middle values. Result type is the value's decimal with one more digit."""
+    bucketed = counts.select(*keys, value, count, value_bucket(F.col(value)).alias("bucket"))
+    per_bucket = bucketed.groupBy(*keys, "bucket").agg(F.sum(count).alias("bucket_n"))
+    order = Window.partitionBy(*keys).orderBy("bucket")
+    whole = Window.partitionBy(*keys)
+    ranked = (
+        per_bucket.withColumn("before", F.sum("bucket_n").over(order) - F.col("bucket_n"))
+        .withColumn("n", F.sum("bucket_n").over(whole))
+        # 0-based ranks of the two middle values
+        .withColumn("low_rank", F.floor((F.col("n") - 1) / 2))
+        .withColumn("high_rank", F.floor(F.col("n") / 2))
+        .where((F.col("before") <= F.col("high_rank")) & (F.col("before") + F.col("bucket_n") > F.col("low_rank")))
+    )
+    inside = Window.partitionBy(*keys, "bucket").orderBy(value)
+    picked = (
+        bucketed.join(ranked, [*keys, "bucket"])
+        .withColumn("last", F.col("before") + F.sum(count).over(inside) - 1)
+        .withColumn("first", F.col("last") - F.col(count) + 1)
+    )
+
+    def at(rank: str) -> Column:
+        hit = (F.col("first") <= F.col(rank)) & (F.col("last") >= F.col(rank))
+        return F.max(F.when(hit, F.col(value)))
+
+    middle = picked.groupBy(*keys, "n").agg(at("low_rank").alias("low"), at("high_rank").alias("high"))
+    return middle.select(*keys, ((F.col("low") + F.col("high")) * F.expr("0.5BD")).alias("median"), "n")
