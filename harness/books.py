@@ -158,35 +158,32 @@ _EVENT_COLUMNS = (
 )
 
 
-def _event(source: str, where: str = "", **values: str) -> str:
-    columns = ", ".join(f"{values[c]} AS {c}" for c in _EVENT_COLUMNS)
-    return f"SELECT {columns} FROM {source}" + (f" WHERE {where}" if where else "")
-
-
-def _ar_event(prefix: str, kind: str, date: str, debit: str, credit: str, where: str = "", **other: str) -> str:
-    return _event(
-        "[receivables]", where,
-        **{
-            "k": "k", "document_id": f"'{prefix}_' || CAST(k AS STRING)", "document_type": f"'{kind}'",
-            "transaction_date": date, "entity_id": "entity_id", "business_unit": "business_unit",
-            "currency": "currency", "counterparty_id": "customer_id", "amount": "invoice_amount",
-            "payment_due_date": "due_date", "payment_date": "payment_date", "source_system": "'AR_SYSTEM'",
-            "debit_account": debit, "credit_account": credit, **other,
-        },
-    )
+def _union_events(source: str, kinds: list[dict[str, str]]) -> str:
+    parts = []
+    for kind in kinds:
+        columns = ", ".join(f"{kind[c]} AS {c}" for c in _EVENT_COLUMNS)
+        parts.append(f"SELECT {columns} FROM [{source}]" + (f" WHERE {kind['where']}" if kind.get("where") else ""))
+    return " UNION ALL ".join(parts)
 
 
-def _ap_event(prefix: str, kind: str, date: str, debit: str, credit: str, where: str = "", **other: str) -> str:
-    return _event(
-        "[payables]", where,
-        **{
-            "k": "k", "document_id": f"'{prefix}' || substr(invoice_id, 6)", "document_type": f"'{kind}'",
-            "transaction_date": date, "entity_id": "entity_id", "business_unit": "business_unit",
-            "currency": "currency", "counterparty_id": "vendor_id", "amount": "net_amount",
-            "payment_due_date": "due_date", "payment_date": "payment_date", "source_system": "'AP_SYSTEM'",
-            "debit_account": debit, "credit_account": credit, **other,
-        },
-    )
+def _ar_event(prefix: str, kind: str, date: str, debit: str, credit: str, **other: str) -> dict[str, str]:
+    return {
+        "k": "k", "document_id": f"'{prefix}_' || CAST(k AS STRING)", "document_type": f"'{kind}'",
+        "transaction_date": date, "entity_id": "entity_id", "business_unit": "business_unit",
+        "currency": "currency", "counterparty_id": "customer_id", "amount": "invoice_amount",
+        "payment_due_date": "due_date", "payment_date": "payment_date", "source_system": "'AR_SYSTEM'",
+        "debit_account": debit, "credit_account": credit, **other,
+    }
+
+
+def _ap_event(prefix: str, kind: str, date: str, debit: str, credit: str, **other: str) -> dict[str, str]:
+    return {
+        "k": "k", "document_id": f"'{prefix}' || substr(invoice_id, 6)", "document_type": f"'{kind}'",
+        "transaction_date": date, "entity_id": "entity_id", "business_unit": "business_unit",
+        "currency": "currency", "counterparty_id": "vendor_id", "amount": "net_amount",
+        "payment_due_date": "due_date", "payment_date": "payment_date", "source_system": "'AP_SYSTEM'",
+        "debit_account": debit, "credit_account": credit, **other,
+    }
 
 
 _EXPENSE_ACCOUNT = (
@@ -196,13 +193,12 @@ _EXPENSE_ACCOUNT = (
     f"ELSE {_unit_account(6010, 'business_unit')} END"
 )
 
-VIEWS["sales_events"] = " UNION ALL ".join(
-    [
+SALES_EVENTS = [
         _ar_event("ARINV", "Revenue Invoice", "invoice_date", "'1001'", _unit_account(4000, "business_unit")),
-        _ar_event("ARCOL", "Cash Receipt", "payment_date", "'1000'", "'1001'", "payment_status = 'Paid'"),
+        _ar_event("ARCOL", "Cash Receipt", "payment_date", "'1000'", "'1001'", where="payment_status = 'Paid'"),
         _ar_event(
             "ARWO", "Bad Debt Writeoff", _shift("due_date", "120"), "'6907'", "'1001'",
-            "payment_status = 'Written Off'", payment_date="CAST(NULL AS DATE)",
+            where="payment_status = 'Written Off'", payment_date="CAST(NULL AS DATE)",
         ),
         _ar_event(
             "PAYROLL", "Payroll", "invoice_date", _unit_account(6000, "business_unit"), "'1000'",
@@ -210,36 +206,32 @@ VIEWS["sales_events"] = " UNION ALL ".join(
             payment_due_date="CAST(NULL AS DATE)", payment_date="CAST(NULL AS DATE)",
             source_system="'PAYROLL_SYSTEM'",
         ),
-    ]
-)
+]
 
-VIEWS["purchase_events"] = " UNION ALL ".join(
-    [
+PURCHASE_EVENTS = [
         _ap_event("APINV", "Vendor Invoice", "invoice_date", _EXPENSE_ACCOUNT, "'2000'"),
-        _ap_event("APPAY", "Vendor Payment", "payment_date", "'2000'", "'1000'", "payment_status = 'Paid'"),
+        _ap_event("APPAY", "Vendor Payment", "payment_date", "'2000'", "'1000'", where="payment_status = 'Paid'"),
         _ap_event(
             "COGSREC", "Inventory Consumption", _shift("invoice_date", "20"),
-            _unit_account(5000, "business_unit"), "'1002'", "expense_category = 'Raw Materials'",
+            _unit_account(5000, "business_unit"), "'1002'", where="expense_category = 'Raw Materials'",
             amount="CAST(round(net_amount * 0.9, 2) AS DECIMAL(18,2))", counterparty_id="CAST(NULL AS STRING)",
             payment_due_date="CAST(NULL AS DATE)", payment_date="CAST(NULL AS DATE)", source_system="'ERP'",
         ),
-    ]
-)
+]
 
 
-def _corporate_event(source: str, prefix: str, kind: str, day: int, debit: str, credit: str, amount: str, system: str,
-                     where: str = "") -> str:
-    return _event(
-        source, where,
-        **{
-            "k": "CAST(month_no AS BIGINT)", "document_id": f"'{prefix}_' || entity_id || '_' || CAST(period AS STRING)",
-            "document_type": f"'{kind}'", "transaction_date": _shift("period", str(day)),
-            "entity_id": "entity_id", "business_unit": "'Corporate'", "currency": "functional_currency",
-            "counterparty_id": "CAST(NULL AS STRING)", "amount": f"CAST({amount} AS DECIMAL(18,2))",
-            "payment_due_date": "CAST(NULL AS DATE)", "payment_date": "CAST(NULL AS DATE)",
-            "source_system": f"'{system}'", "debit_account": f"'{debit}'", "credit_account": f"'{credit}'",
-        },
-    )
+def _corporate_event(prefix: str, kind: str, day: int, debit: str, credit: str, amount: str, system: str,
+                     where: str = "") -> dict[str, str]:
+    return {
+        "k": "CAST(month_no AS BIGINT)",
+        "document_id": f"'{prefix}_' || entity_id || '_' || CAST(period AS STRING)",
+        "document_type": f"'{kind}'", "transaction_date": _shift("period", str(day)), "entity_id": "entity_id",
+        "business_unit": "'Corporate'", "currency": "functional_currency",
+        "counterparty_id": "CAST(NULL AS STRING)", "amount": f"CAST({amount} AS DECIMAL(18,2))",
+        "payment_due_date": "CAST(NULL AS DATE)", "payment_date": "CAST(NULL AS DATE)",
+        "source_system": f"'{system}'", "debit_account": f"'{debit}'", "credit_account": f"'{credit}'",
+        "where": where,
+    }
 
 
 VIEWS["capex_plan"] = """
@@ -250,19 +242,22 @@ SELECT entity_id, functional_currency, period, month_no, annual_revenue_scale_eu
             ELSE CAST(0 AS DECIMAL(18,2)) END AS capex
 FROM [entity_months]"""
 
-VIEWS["corporate_events"] = " UNION ALL ".join(
-    [
-        _corporate_event("[depreciation]", "CAPEX", "Capex", 10, "1004", "1000", "capex", "ERP", "capex > 0"),
+CORPORATE_EVENTS = [
+        _corporate_event("CAPEX", "Capex", 10, "1004", "1000", "capex", "ERP", "capex > 0"),
         _corporate_event(
-            "[depreciation]", "DEPR", "Depreciation", 27, "6900", "1006", "round(depreciation, 2)", "ERP"
+            "DEPR", "Depreciation", 27, "6900", "1006", "round(depreciation, 2)", "ERP"
         ),
         _corporate_event(
-            "[depreciation]", "INT", "Interest Payment", 27, "6901", "1000",
+            "INT", "Interest Payment", 27, "6901", "1000",
             "round(opening_debt * 0.065 / 12, 2)", "BANKING_SYSTEM",
         ),
-    ]
-)
+]
 
+EVENT_SOURCES = (
+    ("sales_events", "receivables", SALES_EVENTS),
+    ("purchase_events", "payables", PURCHASE_EVENTS),
+    ("corporate_events", "depreciation", CORPORATE_EVENTS),
+)
 VIEWS["posting_events"] = (
     "SELECT * FROM [sales_events] UNION ALL SELECT * FROM [purchase_events] "
     "UNION ALL SELECT * FROM [corporate_events]"
@@ -273,7 +268,7 @@ VIEWS["transactions"] = f"""
 SELECT {_LEG_COLUMNS} FROM [journal_legs] UNION ALL SELECT {_LEG_COLUMNS} FROM [opening_legs]"""
 
 # Row generators and posting rules, checking-database side. Spark uses SPARK_VIEWS below.
-DUCK_VIEWS: dict[str, str] = {}
+DUCK_VIEWS: dict[str, str] = {name: _union_events(source, kinds) for name, source, kinds in EVENT_SOURCES}
 
 DUCK_VIEWS["entity_months"] = """
 SELECT entity_id, functional_currency, annual_revenue_scale_eur, m AS month_no,
@@ -522,6 +517,19 @@ def _with_leg_number(legs: DataFrame) -> DataFrame:
     return legs.withColumn("leg", F.regexp_extract("transaction_id", "_([0-9]+)$", 1).cast("int"))
 
 
+def _events(source: str, kinds: list[dict[str, str]]) -> Callable[[Books], DataFrame]:
+    """All event kinds of one source in a single scan: an array of the kinds that apply, exploded."""
+
+    def build(b: Books) -> DataFrame:
+        structs = []
+        for kind in kinds:
+            fields = ", ".join(f"{kind[c]} AS {c}" for c in _EVENT_COLUMNS)
+            structs.append(f"CASE WHEN {kind.get('where') or 'true'} THEN struct({fields}) END")
+        return b[source].selectExpr(f"inline(array_compact(array({', '.join(structs)})))")
+
+    return build
+
+
 def _opening_legs(b: Books) -> DataFrame:
     parts = journal.opening_balances(b["entities"], OPENING_DATE)
     legs = journal.post_multi_leg(parts, b["chart_of_accounts"])
@@ -545,3 +553,4 @@ SPARK_VIEWS: dict[str, Callable[[Books], DataFrame]] = {
     "raw_accounts_receivable": _raw("accounts_receivable"),
     "raw_accounts_payable": _raw("accounts_payable"),
 }
+SPARK_VIEWS.update({name: _events(source, kinds) for name, source, kinds in EVENT_SOURCES})

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import os
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
 
 RECOMMENDED = {
     "spark.sql.session.timeZone": "UTC",
@@ -22,10 +25,22 @@ def build_session(app_name: str = "tallystone", **overrides: str) -> SparkSessio
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
-    """The cluster's shared checkpoint folder; `fallback` only where the session names none (tests)."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    folder = configured or fallback
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared checkpoint folder the cluster names in `spark.checkpoint.dir`. Only a session without one
+    (a local test) gets a folder of its own."""
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if folder is None:
+        folder = os.path.join(tempfile.gettempdir(), "tallystone-checkpoints")
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return folder
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write an intermediate result once to reliable storage and go on from there.
+
+    For small tables that many later steps read, such as the monthly postings: the ledger behind them is then
+    scanned once, and a lost executor does not bring the scan back."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
