@@ -19,7 +19,7 @@ CF_MONEY = tuple(c for c in statements.CASH_FLOW_COLUMNS[2:] if c != "status")
 
 def enriched(b: Books) -> DataFrame:
     """The ledger is summed once to monthly postings; every statement reads that small written table."""
-    postings = materialize(ledger.monthly_postings(b["transactions"]))
+    postings = materialize(ledger.monthly_postings(b["transactions"]), "postings")
     return ledger.enrich(postings, b["chart_of_accounts"], b["fx_rates"])
 
 

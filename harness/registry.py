@@ -16,7 +16,7 @@ def query(name: str, sql: str | None = None):
     """Register a function of the derived books under a name, with its checking SQL where there is one."""
 
     def register(fn: Callable[[Books], DataFrame]):
-        QUERIES[name] = lambda spark, sf_dir: fn(Books(spark, sf_dir))
+        QUERIES[name] = lambda spark, sf_dir: fn(Books.of(spark, sf_dir))
         if sql is not None:
             ORACLES[name] = duck_sql(sql)
         return fn

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,10 +38,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Write an intermediate result once to reliable storage and go on from there.
+def materialize(df: DataFrame, name: str = "step") -> DataFrame:
+    """Write an intermediate table to the shared folder and go on from the written copy.
 
-    For small tables that many later steps read, such as the monthly postings: the ledger behind them is then
-    scanned once, and a lost executor does not bring the scan back."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    For results that several later steps read, such as the issue table or the monthly postings: what lies behind
+    them runs once, a lost executor does not bring it back, and readers scan only the columns they need."""
+    spark = df.sparkSession
+    folder = ensure_checkpoint_dir(spark)
+    path = f"{folder}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -95,5 +95,13 @@ def null_counts(df: DataFrame, dataset: str) -> DataFrame:
     )
 
 
+def spread_scan(df: DataFrame) -> DataFrame:
+    """Give heavy per-row work all cores when a table sits in very few files or row groups.
+
+    A scan that already has a task per core, as any large table has, is left alone: no shuffle is added."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
