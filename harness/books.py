@@ -543,7 +543,8 @@ def _events(source: str, kinds: list[dict[str, str]]) -> Callable[[Books], DataF
         for kind in kinds:
             fields = ", ".join(f"{kind[c]} AS {c}" for c in _EVENT_COLUMNS)
             structs.append(f"CASE WHEN {kind.get('where') or 'true'} THEN struct({fields}) END")
-        return b[source].selectExpr(f"inline(array_compact(array({', '.join(structs)})))")
+        rows = b[source].selectExpr(f"array({', '.join(structs)}) AS events").select(F.explode("events").alias("e"))
+        return rows.where(F.col("e").isNotNull()).select("e.*")
 
     return build
 

@@ -38,10 +38,14 @@ class RowRule:
 
 
 def evaluate_row_rules(df: DataFrame, dataset: str, rules: list[RowRule]) -> DataFrame:
-    """One issue row per (record, rule) whose predicate is true; a null predicate counts as false."""
-    hits = F.array_compact(F.array(*[F.when(is_true(r.predicate), r.as_struct()) for r in rules]))
-    exploded = df.select("row_uid", F.explode(hits).alias("issue"))
-    return exploded.select("row_uid", F.lit(dataset).alias("dataset"), "issue.*")
+    """One issue row per (record, rule) whose predicate is true; a null predicate counts as false.
+
+    The rules fill an array in a plain projection, which is compiled and shares repeated parsing between rules;
+    the explode then only walks that array."""
+    hits = F.array(*[F.when(is_true(r.predicate), r.as_struct()) for r in rules])
+    exploded = df.select("row_uid", hits.alias("hits")).select("row_uid", F.explode("hits").alias("issue"))
+    found = exploded.where(F.col("issue").isNotNull())
+    return found.select("row_uid", F.lit(dataset).alias("dataset"), "issue.*")
 
 
 def issue_rows(

@@ -46,12 +46,11 @@ def post_journal(events: DataFrame, coa: DataFrame, keep: list[str] | None = Non
             credit.alias("credit"),
         )
 
-    legs = F.explode(
-        F.array(leg(1, "debit_account", amount, zero), leg(2, "credit_account", zero, amount))
-    )
+    legs = F.array(leg(1, "debit_account", amount, zero), leg(2, "credit_account", zero, amount))
     posted = (
         events.where(F.col("amount") > 0)
-        .withColumn("posted_leg", legs)
+        .withColumn("legs", legs)
+        .withColumn("posted_leg", F.explode("legs"))
         .select(
             *keep, "document_id", "document_type", "transaction_date", "entity_id", "business_unit", "currency",
             "counterparty_id", "payment_due_date", "payment_date", "source_system", amount.alias("amount"),

@@ -26,13 +26,11 @@ def row_local_issues(tables: dict[str, DataFrame], settings: QualitySettings | N
 
 
 def outlier_issues(tables: dict[str, DataFrame], settings: QualitySettings | None = None) -> DataFrame:
-    settings = settings or QualitySettings()
-    return union_all(
-        [
-            validity.outliers(tables[n], n, validity.AMOUNT[n], validity.OUTLIER_GROUP[n], settings)
-            for n in ROW_LEVEL_DATASETS
-        ]
-    )
+    values = [
+        validity.outlier_values(tables[n], n, validity.AMOUNT[n], validity.OUTLIER_GROUP[n])
+        for n in ROW_LEVEL_DATASETS
+    ]
+    return validity.outliers(union_all(values), settings or QualitySettings())
 
 
 def duplicate_issues(tables: dict[str, DataFrame], settings: QualitySettings | None = None) -> DataFrame:
