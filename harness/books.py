@@ -138,7 +138,7 @@ SELECT l_orderkey * 7 + l_linenumber AS k,
        {_shift("CAST(l_shipdate AS DATE)", "payment_terms_days")} AS due_date,
        {_shift("CAST(l_shipdate AS DATE)", "payment_terms_days + l_partkey % 14 - 4")} AS expected_payment,
        NOT (l_returnflag = 'R' AND l_tax > 0.075) AS payable_now,
-       CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))), 2)
+       CAST(round(CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS DECIMAL(4,2))) * CAST(0.8 AS DECIMAL(2,1)), 2)
             AS DECIMAL(18,2)) AS net_amount,
        CAST(l_tax AS DECIMAL(4,2)) AS tax_rate,
        CASE p_size % 5 WHEN 0 THEN 'AUTOMOBILE' WHEN 1 THEN 'BUILDING' WHEN 2 THEN 'FURNITURE'
@@ -208,7 +208,7 @@ SALES_EVENTS = [
         ),
         _ar_event(
             "PAYROLL", "Payroll", "invoice_date", _unit_account(6000, "business_unit"), "'1000'",
-            amount="CAST(round(invoice_amount * 0.12, 2) AS DECIMAL(18,2))", counterparty_id="CAST(NULL AS STRING)",
+            amount="CAST(round(invoice_amount * 0.04, 2) AS DECIMAL(18,2))", counterparty_id="CAST(NULL AS STRING)",
             payment_due_date="CAST(NULL AS DATE)", payment_date="CAST(NULL AS DATE)",
             source_system="'PAYROLL_SYSTEM'",
         ),
@@ -491,6 +491,12 @@ class Books:
         deps = {d: self[d] for d in _references(sql)}
         return self.spark.sql(re.sub(r"\[([a-z_]+)\]", r"{\1}", sql), **deps)
 
+    def once(self, name: str, build: Callable[[Books], DataFrame]) -> DataFrame:
+        """An intermediate table that several queries start from, written the first time it is asked for."""
+        if name not in self._frames:
+            self._frames[name] = materialize(build(self), name)
+        return self._frames[name]
+
     def raw_tables(self) -> dict[str, DataFrame]:
         """The eight raw tables: strings with lineage keys."""
         tables = {n: self[f"raw_{n}"] for n in RAW_SOURCES}

@@ -24,8 +24,10 @@ def grouped_median(counts: DataFrame, keys: list[str], value: str, count: str) -
     """Median per group of a table of distinct values and their counts: (keys, median, n).
 
     An even count averages the two middle values. Result type is the value's decimal with one more digit."""
-    bucketed = counts.select(*keys, value, count, value_bucket(F.col(value)).alias("bucket"))
-    per_bucket = bucketed.groupBy(*keys, "bucket").agg(F.sum(count).alias("bucket_n"))
+    bucketed = counts.select(
+        *keys, value, F.col(count).alias("value_count"), value_bucket(F.col(value)).alias("bucket")
+    )
+    per_bucket = bucketed.groupBy(*keys, "bucket").agg(F.sum("value_count").alias("bucket_n"))
     order = Window.partitionBy(*keys).orderBy("bucket")
     whole = Window.partitionBy(*keys)
     ranked = (
@@ -39,8 +41,8 @@ def grouped_median(counts: DataFrame, keys: list[str], value: str, count: str) -
     inside = Window.partitionBy(*keys, "bucket").orderBy(value)
     picked = (
         bucketed.join(ranked, [*keys, "bucket"])
-        .withColumn("last", F.col("before") + F.sum(count).over(inside) - 1)
-        .withColumn("first", F.col("last") - F.col(count) + 1)
+        .withColumn("last", F.col("before") + F.sum("value_count").over(inside) - 1)
+        .withColumn("first", F.col("last") - F.col("value_count") + 1)
     )
 
     def at(rank: str) -> Column:

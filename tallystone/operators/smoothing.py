@@ -23,11 +23,14 @@ def _mean(array: Column) -> Column:
 
 
 def _start(seasonal: Column) -> Column:
+    """State after the first season: the trend between the first two seasons' means, the level moved along it to
+    the season's end, and the season's deviations from that line."""
     first, second = F.slice("values", 1, SEASON), F.slice("values", SEASON + 1, SEASON)
+    trend, centre = (_mean(second) - _mean(first)) / SEASON, (SEASON - 1) / 2
     with_season = F.struct(
-        _mean(first).alias("level"),
-        ((_mean(second) - _mean(first)) / SEASON).alias("trend"),
-        F.transform(first, lambda v: v - _mean(first)).alias("season"),
+        (_mean(first) + trend * centre).alias("level"),
+        trend.alias("trend"),
+        F.transform(first, lambda v, i: v - _mean(first) - trend * (i - centre)).alias("season"),
         F.lit(0.0).alias("sse"),
     ).cast(STATE)
     plain = F.struct(
