@@ -15,7 +15,6 @@ from tallystone.operators import completeness, consistency, issues, ledger, reco
 from tallystone.operators import uniqueness, validity
 from tallystone.plans import quality
 from tallystone.schema import PAYABLES, RECEIVABLES, ROW_LEVEL_DATASETS, TRANSACTIONS
-from tallystone.session import materialize
 from tallystone.sources import layers
 from tallystone.sources.raw import as_raw, null_counts, number_copies, union_all
 
@@ -523,12 +522,13 @@ def reconciliation_issues(b: Books) -> DataFrame:
 
 
 def checked(b: Books) -> DataFrame:
-    """The issue table, written once for the steps that read it several times."""
-    return materialize(quality.run_all_checks(b.raw_tables()))
+    """The issue table, written once: the cascade, the split, the ledger and the score all start from it."""
+    return b.once("checks", lambda books: quality.run_all_checks(books.raw_tables()))
 
 
 def final_issues(b: Books) -> DataFrame:
-    return scoring.with_cascade(b[RAW[TRANSACTIONS]], checked(b))
+    """Checks plus cascade, written once as well."""
+    return b.once("final_issues", lambda books: scoring.with_cascade(books[RAW[TRANSACTIONS]], checked(books)))
 
 
 @query("all_issues", f"SELECT {_ISSUE}, dimension FROM [all_issues]")
@@ -541,7 +541,7 @@ def all_issues(b: Books) -> DataFrame:
     "SELECT validation_rule, dimension, severity, count(*) AS n_issues FROM [all_issues] GROUP BY ALL",
 )
 def rule_dimension(b: Books) -> DataFrame:
-    return quality.rule_catalog(quality.run_all_checks(b.raw_tables()))
+    return quality.rule_catalog(checked(b))
 
 
 @query("document_cascade", f"SELECT {_ISSUE}, dimension FROM [cascade]")
@@ -617,7 +617,7 @@ def layer_counts(b: Books) -> DataFrame:
 )
 def quality_report(b: Books) -> DataFrame:
     """The nested report row, its maps printed as text for comparison."""
-    report = scoring.quality_report(materialize(final_issues(b)), b.raw_tables(), RUN_AT)
+    report = scoring.quality_report(final_issues(b), b.raw_tables(), RUN_AT)
     text = lambda c: F.expr(f"array_join(transform(array_sort(map_keys({c})), k -> concat(k, '=', {c}[k])), ';')")
     layers_text = F.expr(
         "array_join(transform(array_sort(map_keys(row_counts_raw)), k -> concat(k, '=', row_counts_raw[k], '/', "

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystone.config import Z_95, ForecastSettings
+from tallystone.session import materialize
 
 METRICS = (
     "revenue", "operating_expense", "accounts_receivable", "accounts_payable", "operating_cf", "ending_cash",
@@ -182,7 +183,8 @@ def build_forecasts(
     """(forecasts, evaluation): every model scored on the holdout, the winner refit on the whole series."""
     settings, models = settings or ForecastSettings(), models or BASELINES
     arrays = to_arrays(series)
-    compared = holdout(arrays, models, settings)
+    # The fitted holdout feeds the metrics and the deviations: written once, models are not fitted twice for it.
+    compared = materialize(holdout(arrays, models, settings), "holdout")
     evaluation = select_models(error_metrics(compared))
     winners = evaluation.where("selected").select(*KEYS, "model")
     future = forecast_all(arrays, settings.horizon, models).join(winners, [*KEYS, "model"], "left_semi")
