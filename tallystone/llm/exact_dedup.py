@@ -38,7 +38,8 @@ def frequent_digests(digests: DataFrame, counters: int = COUNTERS) -> DataFrame:
     part = digests.groupBy(F.pmod(F.spark_partition_id(), F.lit(256)).alias("part")).agg(
         F.expr(f"approx_top_k_accumulate(xxhash64(digest), {tracked}) AS sketch")
     )
-    named = part.agg(F.expr(f"approx_top_k_combine(sketch, {tracked}) AS sketch")).select(
+    # Grouped by a constant: a task without rows then adds no summary, and an empty one cannot be merged.
+    named = part.withColumn("all", F.lit(True)).groupBy("all").agg(F.expr(f"approx_top_k_combine(sketch, {tracked}) AS sketch")).select(
         F.explode(F.expr(f"approx_top_k_estimate(sketch, {4 * counters})")).alias("found")
     )
     named = named.select(F.col("found.item").alias("short"))
