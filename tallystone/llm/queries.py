@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.llm import exact_dedup, fingerprints, mixing, sharding, url_cascade
+from tallystone.llm import exact_dedup, fingerprints, mixing, near_dedup, sharding, url_cascade
 from tallystone.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,6 +106,11 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(read(spark, sf_dir, "documents"))
 
 
+@query("op9_near_dedup")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicate_classes(read(spark, sf_dir, "documents")).drop("digest")
+
+
 @query("op10_fingerprints")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(read(spark, sf_dir, "documents"))
