@@ -31,9 +31,9 @@ def powers(base: np.uint64, count: int) -> np.ndarray:
 
 def text_chunks(texts: pa.Array, max_bytes: int = 1 << 21, lower: bool = False) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """(first row, offsets of rows, bytes) of runs of whole texts; null is empty. A longer text is a run of its own."""
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
     if lower:
-        texts = pc.utf8_lower(texts)
+        texts = pc.utf8_lower(texts.cast(pa.large_string()))
+    texts = pc.fill_null(texts.cast(pa.large_binary()), b"")
     lengths = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
     ends = np.cumsum(lengths)
     row = 0
