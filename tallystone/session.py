@@ -26,25 +26,48 @@ def build_session(app_name: str = "tallystone", **overrides: str) -> SparkSessio
     return builder.getOrCreate()
 
 
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder the cluster names in `spark.checkpoint.dir`. Only a session without one
-    (a local test) gets a folder of its own."""
+    """The shared checkpoint folder the cluster names in `spark.checkpoint.dir`. A session on one machine without one
+    (a test) gets a folder of its own; on several machines that is an error, since they would not see each other's files."""
     context = spark.sparkContext
     folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if folder is None:
+        if context.master.split("[")[0] != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         folder = os.path.join(tempfile.gettempdir(), "tallystone-checkpoints")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return folder
 
 
+def _steps_folder(spark: SparkSession) -> str:
+    return f"{ensure_checkpoint_dir(spark)}/{spark.sparkContext.applicationId}"
+
+
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write an intermediate table to the shared folder and go on from the written copy.
 
     For results that several later steps read, such as the issue table or the monthly postings: what lies behind
-    them runs once, a lost executor does not bring it back, and readers scan only the columns they need."""
+    them runs once, a lost executor does not bring it back, and readers scan only the columns they need. The shuffle files
+    behind the table are dropped once it is written. `clear_steps` deletes the tables of an application."""
     spark = df.sparkSession
-    folder = ensure_checkpoint_dir(spark)
-    path = f"{folder}/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    path = f"{_steps_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def clear_steps(spark: SparkSession) -> None:
+    """Delete the tables that `materialize` wrote for this application. Tables read from them are gone with it."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_steps_folder(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
