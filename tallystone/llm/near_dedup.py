@@ -14,7 +14,7 @@ similarity 0.8 meets in some band with probability 0.9998.
 Links. In each bucket (texts with an equal band) every text is compared with one leader, another one in each
 band; what is linked by then is one component. Then, in the buckets that still hold several components, each text outside the largest is
 compared with the texts of other components of the bucket, if their samples agree well enough to allow the threshold; of these
-each text takes its best one in each round, until no untested pair of different components is left. So no pairs are listed inside a
+each text tries its best ones, eight times as many in each round, until no untested pair of different components is left. So no pairs are listed inside a
 component, and no link between components is lost among the candidates. Every link is verified by the exact weighted Jaccard
 similarity.
 
@@ -203,68 +203,77 @@ def _ordered(pairs: DataFrame, *more: str) -> DataFrame:
     return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), *more)
 
 
-def _links(signed: DataFrame, feature_table, threshold: float, max_rounds: int) -> DataFrame:
+def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs with the labels of both nodes; a node without links is its own label."""
+    of_a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    out = pairs.join(of_a, "a", "left").join(of_b, "b", "left")
+    return out.withColumn("la", F.coalesce("la", "a")).withColumn("lb", F.coalesce("lb", "b"))
+
+
+def _links(signed: DataFrame, feature_table, threshold: float) -> DataFrame:
     """Verified links (a, b, similarity) whose components are those of all candidate pairs."""
     keys = F.array(*[
-        F.struct(F.lit(i).alias("band"), F.xxhash64(F.lit(i), *[F.get("samples", F.lit(ROWS * i + j)) for j in range(ROWS)]).alias("value"))
-        for i in range(BANDS)
+        F.xxhash64(F.lit(i), *[F.get("samples", F.lit(ROWS * i + j)) for j in range(ROWS)]) for i in range(BANDS)
     ])
-    rows = signed.select("node", F.explode(keys).alias("key")).select("node", "key.*")
-    rank = F.struct(F.xxhash64("node", "band"), "node")
-    buckets = rows.groupBy("band", "value").agg(F.min(rank)["node"].alias("leader"), F.count(F.lit(1)).alias("members")).where("members > 1")
-    shared = materialize(rows.join(buckets, ["band", "value"]), "buckets")
-    pairs = _ordered(shared.where("node != leader").select(F.col("node").alias("a"), F.col("leader").alias("b"))).distinct()
+    # Ranks hashed with the bucket: another leader in each band.
+    rows = signed.select("node", F.explode(keys).alias("bucket")).withColumn("rank", F.xxhash64("node", "bucket"))
+    buckets = rows.groupBy("bucket").agg(F.min("rank").alias("least"), F.count(F.lit(1)).alias("members")).where("members > 1")
+    shared = materialize(rows.join(buckets.drop("members"), "bucket"), "buckets")
+    leaders = shared.where("rank = least").select("bucket", F.col("node").alias("b"))
+    pairs = _ordered(shared.where("rank != least").select("bucket", F.col("node").alias("a")).join(leaders, "bucket")).distinct()
     pairs = materialize(pairs, "pairs")
     features = feature_table(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct())
     links = materialize(_verified(pairs, features, threshold), "verified")
 
     # Buckets of several components: who else could be linked?
     labels = materialize(components(links), "labels")
-    placed = shared.select("node", "band", "value").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    sizes = placed.groupBy("band", "value", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("band", "value").agg(F.max(F.struct("n", "label"))["label"].alias("largest"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
-    placed = materialize(placed.join(mixed, ["band", "value"]), "mixed")
+    placed = shared.select("node", "bucket").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    sizes = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
+    mixed = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label"))["label"].alias("largest"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
+    placed = materialize(placed.join(mixed, "bucket"), "mixed")
     # One agreement of the other samples must remain likely at the threshold: six standard deviations below it.
     count = BANDS * ROWS
     least = math.floor(count * threshold - 6 * math.sqrt(count * threshold * (1 - threshold)))
-    a = placed.where("label != largest").select("band", "value", F.col("node").alias("a"), F.col("label").alias("la"))
-    b = placed.select("band", "value", F.col("node").alias("b"), F.col("label").alias("lb"), "largest")
+    a = placed.where("label != largest").select("bucket", F.col("node").alias("a"), F.col("label").alias("la"))
+    b = placed.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"), "largest")
     own = signed.select(F.col("node").alias("a"), F.col("samples").alias("sa"))
     other = signed.select(F.col("node").alias("b"), F.col("samples").alias("sb"))
     agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
     open_pairs = (
-        a.join(own, "a").join(b.join(other, "b"), ["band", "value"])
+        a.join(own, "a").join(b.join(other, "b"), "bucket")
         .where((F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("largest")) | (F.col("a") < F.col("b"))))
         .withColumn("agree", agree).where(F.col("agree") >= least)
     )
     open_pairs = _ordered(open_pairs, "agree").distinct().join(pairs, ["a", "b"], "left_anti")
     open_pairs = materialize(open_pairs, "open")
-    tried = 0
+    each = 4
     while not open_pairs.isEmpty():
-        tried += 1
-        if tried > max_rounds:
-            raise RuntimeError(f"pairs are left after {max_rounds} rounds")
         best = Window.partitionBy("a").orderBy(F.desc("agree"), "b")
-        batch = materialize(open_pairs.withColumn("nth", F.row_number().over(best)).where("nth = 1").select("a", "b"), "batch")
+        batch = open_pairs.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= each).select("a", "b")
+        batch = materialize(batch, "batch")
         features = feature_table(batch.select(F.col("a").alias("node")).union(batch.select("b")).distinct())
         found = materialize(_verified(batch, features, threshold), "verified")
         links = links.unionByName(found)
-        labels = materialize(components(links), "labels")
-        of_a, of_b = labels.select(F.col("node").alias("a"), F.col("label").alias("la")), labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
-        rest = open_pairs.join(batch, ["a", "b"], "left_anti").join(of_a, "a", "left").join(of_b, "b", "left")
-        open_pairs = materialize(rest.where(~F.col("la").eqNullSafe(F.col("lb")) | F.col("la").isNull()).select("a", "b", "agree"), "open")
+        joined = materialize(components(_labelled(found, labels).select(F.col("la").alias("a"), F.col("lb").alias("b"))), "joined")
+        moved = joined.select(F.col("node").alias("label"), F.col("label").alias("new"))
+        own = labels.unionByName(joined.select("node", F.col("node").alias("label"))).dropDuplicates(["node"])
+        labels = materialize(own.join(moved, "label", "left").select("node", F.coalesce("new", "label").alias("label")), "labels")
+        rest = _labelled(open_pairs.join(batch, ["a", "b"], "left_anti"), labels)
+        open_pairs = materialize(rest.where(F.col("la") != F.col("lb")).select("a", "b", "agree"), "open")
+        each *= 8
     return links
 
 
 def near_duplicate_classes(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD, max_rounds: int = 1000
+    docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
     """One row per document: doc_id, class_id, n_links (of its text, to other texts, as far as they were needed), kept, digest."""
     weights = slot_weights(docs, text)
     rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), _digest(text).alias("digest"))
     listed = materialize(rows.select(F.monotonically_increasing_id().alias("rid"), "doc_id", "digest"), "listed")
     signed = rows.select("digest", "text").mapInArrow(_signer(weights), "node binary, samples array<int>")
-    signed = materialize(signed, "signed").dropDuplicates(["node"])
+    signed = materialize(signed.dropDuplicates(["node"]), "signed")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid"))
     owners = listed.groupBy("digest").agg(first.alias("owner"))
 
@@ -274,7 +283,7 @@ def near_duplicate_classes(
         packed_rows = texts.select("digest", "text").mapInArrow(_featurer(weights), "node binary, features binary")
         return materialize(packed_rows.dropDuplicates(["node"]), "features")
 
-    links = materialize(_links(signed, feature_table, threshold, max_rounds), "links")
+    links = materialize(_links(signed, feature_table, threshold), "links")
     labels = components(links)
     degrees = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links"))
     nodes = (
