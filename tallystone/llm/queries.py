@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystone.llm import exact_dedup, fingerprints, mixing, near_dedup, sharding, suffix_dedup, url_cascade
+from tallystone.llm import (
+    exact_dedup, fingerprints, language_id, mixing, near_dedup, segmentation, sharding, suffix_dedup, toxicity, url_cascade,
+)
 from tallystone.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -42,6 +44,20 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(read(spark, sf_dir, "documents"))
 
 
+@query("op3_language_id")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = language_id.learn_languages(docs.where(~language_id.held_out()))
+    return language_id.identify_languages(docs, model)
+
+
+@query("op4_toxicity")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    model = toxicity.learn_toxicity(docs, read(spark, sf_dir, "labels"))
+    return toxicity.score_toxicity(docs, model)
+
+
 @query("op5_sharding", f"""
 WITH rows AS (
   SELECT doc_id, strlen(coalesce(text, ''))::BIGINT AS n_bytes,
@@ -114,6 +130,16 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(read(spark, sf_dir, "documents"))
 
 
+@query("op8_segmentation")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    whole = F.sha2(F.coalesce("text", F.lit("")), 256)
+    rows = segmentation.sample_segmentations(read(spark, sf_dir, "documents"), carry={"text_sha256": whole})
+    rows = rows.withColumn("n_pieces", F.size("ids").cast("long"))
+    rows = rows.withColumn("ids_sha256", F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256))
+    out = segmentation.decode_ids(rows)
+    return out.select("*", (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip")).drop("decoded")
+
+
 @query("op9_near_dedup")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicate_classes(read(spark, sf_dir, "documents")).drop("digest")
