@@ -5,8 +5,8 @@ of its paragraphs' vectors modulo a power of two: the order of paragraphs does n
 paragraph adds or subtracts its vector. There are two vectors:
 
 - 16 lanes modulo 2^32, cut from the paragraph's SHA-512: the fingerprints of different multisets differ.
-- 128 lanes modulo 2^16: the sum of +1 / -1 vectors drawn from the hashes of the paragraph's shingles of three words (one
-  shingle if it has fewer). The cosine of two such sums estimates that of the shingle counts, with a deviation of about
+- 128 lanes modulo 2^16: the sum of vectors drawn from the hashes of the paragraph's shingles of three words (one
+  shingle if it has fewer), each +1 or -1 in one block of 32 lanes and 0 in the others. The cosine of two such sums estimates that of the shingle counts, with a deviation of about
   0.09 at most: the likeness, cut to 0 to 1. Equal fingerprints have likeness 1.
 
 The fingerprint is both vectors in hexadecimal. `combine` adds and subtracts fingerprints.
@@ -31,13 +31,17 @@ from pyspark.sql.window import Window
 from tallystone.llm.common import shuffle_partitions, whole_text
 
 EXACT, NEAR, WORDS = 16, 128, 3
+BLOCKS = 4  # a shingle goes to one of four blocks of 32 lanes
 PAIR = 0x100000001  # one bit in each half of a long: two lanes are counted at once
+SUMS = [f"s{k}" for k in range(NEAR // BLOCKS // 2)]
 
 
-def exact_lanes(text: Column) -> Column:
-    """16 sums modulo 2^32 over the paragraphs."""
-    digests = F.transform(F.split(text, "\n"), lambda p: F.sha2(p, 512))
+def paragraph_digests(text: Column) -> Column:
+    return F.transform(F.split(text, "\n"), lambda p: F.sha2(p, 512))
 
+
+def exact_lanes(digests: str) -> Column:
+    """16 sums modulo 2^32 over a column of paragraph digests."""
     def lane(i: int) -> Column:
         return F.aggregate(
             digests, F.lit(0).cast("long"),
@@ -47,32 +51,30 @@ def exact_lanes(text: Column) -> Column:
     return F.array(*[lane(i) for i in range(EXACT)])
 
 
-def shingles(paragraph: Column) -> Column:
-    """Hashes of the runs of three words of a paragraph; of all its words if there are fewer."""
-    words = F.split(paragraph, " ")
-    return F.transform(
-        F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - WORDS + 1)),
-        lambda i: F.xxhash64(F.array_join(F.slice(words, i, WORDS), " ")),
-    )
+def _count_shingles(parts: DataFrame, keys: list[str]) -> DataFrame:
+    """For each key and block: how many shingles of the texts `part` have bit k and bit k + 32 of their hash set, two counts in
+    a long, and n, their number."""
+    paragraphs = parts.select(*keys, F.explode(F.split("part", "\n")).alias("paragraph"))
+    words = paragraphs.select(*keys, F.split("paragraph", " ").alias("words"))
+    first = F.slice("words", F.lit(1), F.greatest(F.lit(1), F.size("words") - WORDS + 1))
+    hashes = F.transform(first, lambda w, i: F.xxhash64(w, *[F.get("words", i + k) for k in range(1, WORDS)]))
+    exploded = words.select(*keys, F.explode(hashes).alias("h")).withColumn("block", F.shiftright("h", 16).bitwiseAND(F.lit(BLOCKS - 1).cast("long")))
+    sums = [F.sum(F.shiftright("h", k).bitwiseAND(F.lit(PAIR))).alias(name) for k, name in enumerate(SUMS)]
+    return exploded.groupBy(*keys, "block").agg(*sums, F.count(F.lit(1)).alias("n"))
 
 
-def _packed_counts(hash_column: str) -> list[Column]:
-    """For lanes k and k + 32 of each 64: how many hashes have the bit set, two counts in a long."""
-    sums = []
-    for block in range(NEAR // 64):
-        h = F.col(hash_column) if not block else F.xxhash64(F.col(hash_column), F.lit(block))
-        sums += [F.sum(F.shiftright(h, k).bitwiseAND(F.lit(PAIR))).alias(f"s{32 * block + k}") for k in range(32)]
-    return sums
+def _block_lanes(prefix: str = "") -> Column:
+    """Lanes of a block as whole numbers: shingles with the bit set minus shingles without."""
+    n = F.col(f"{prefix}n")
+    low = [2 * F.col(f"{prefix}{s}").bitwiseAND(F.lit(0xFFFFFFFF)) - n for s in SUMS]
+    return F.array(*low, *[2 * F.shiftright(f"{prefix}{s}", 32) - n for s in SUMS])
 
 
-def _near_lanes(packed: list[str], count: str) -> Column:
-    """Lanes as whole numbers: hashes with the bit set minus hashes without."""
-    lanes = []
-    for block in range(NEAR // 64):
-        names = packed[32 * block:32 * block + 32]
-        lanes += [2 * F.col(c).bitwiseAND(F.lit(0xFFFFFFFF)) - F.col(count) for c in names]
-        lanes += [2 * F.shiftright(c, 32) - F.col(count) for c in names]
-    return F.array(*lanes)
+def _all_lanes(lanes: str) -> Column:
+    """An aggregate: the lanes of all blocks, absent blocks as zeros."""
+    by_block = F.map_from_entries(F.collect_list(F.struct("block", lanes)))
+    none = F.array_repeat(F.lit(0).cast("long"), NEAR // BLOCKS)
+    return F.flatten(F.array(*[F.coalesce(F.try_element_at(by_block, F.lit(b).cast("long")), none) for b in range(BLOCKS)]))
 
 
 def _hexed(exact: Column, near: Column) -> Column:
@@ -115,21 +117,14 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, F.lit(1.0)).otherwise(_cosine(signed(a), signed(b)))
 
 
-def _count_shingles(parts: DataFrame, keys: list[str]) -> DataFrame:
-    """Packed counts of the shingles of each key's text; n has their number."""
-    paragraphs = parts.select(*keys, F.explode(F.split("part", "\n")).alias("paragraph"))
-    hashes = paragraphs.select(*keys, F.explode(shingles(F.col("paragraph"))).alias("h"))
-    return hashes.groupBy(*keys).agg(*_packed_counts("h"), F.count(F.lit(1)).alias("n"))
-
-
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id and fingerprint, one row per distinct key and text."""
     rows = docs.select(F.col(key).alias("doc_id"), whole_text(text).alias("part"))
-    rows = rows.select("doc_id", F.sha2("part", 256).alias("digest"), "part")
-    names = [f"s{i}" for i in range(NEAR // 2)]
-    near = _count_shingles(rows.dropDuplicates(["doc_id", "digest"]), ["doc_id", "digest"])
-    near = near.select(F.col("doc_id").alias("near_id"), F.col("digest").alias("near_digest"), _near_lanes(names, "n").alias("near"))
-    exact = rows.dropDuplicates(["doc_id", "digest"]).select("doc_id", "digest", exact_lanes(F.col("part")).alias("exact"))
+    rows = rows.select("doc_id", F.sha2("part", 256).alias("digest"), "part").dropDuplicates(["doc_id", "digest"])
+    counts = _count_shingles(rows, ["doc_id", "digest"]).withColumn("lanes", _block_lanes())
+    near = counts.groupBy(F.col("doc_id").alias("near_id"), F.col("digest").alias("near_digest")).agg(_all_lanes("lanes").alias("near"))
+    exact = rows.select("doc_id", "digest", paragraph_digests(F.col("part")).alias("digests"))
+    exact = exact.select("doc_id", "digest", exact_lanes("digests").alias("exact"))
     same = F.col("doc_id").eqNullSafe(F.col("near_id")) & (F.col("digest") == F.col("near_digest"))
     return exact.join(near, same).select("doc_id", _hexed(F.col("exact"), F.col("near")).alias("fingerprint"))
 
@@ -188,17 +183,19 @@ def edited_fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text"
         F.struct(F.lit(1).alias("role"), old.alias("part")), F.struct(F.lit(2).alias("role"), new.alias("part")),
     ))).alias("at")).select("range", "place", "at.*")
     counts = _count_shingles(parts, ["range", "place", "role"])
-    names = [f"s{i}" for i in range(NEAR // 2)] + ["n"]
+    names = [*SUMS, "n"]
     own = [F.sum(F.when(F.col("role") == 0, F.col(c)).otherwise(0)).alias(f"a{c}") for c in names]
     changed = [F.sum(F.when(F.col("role") == 1, -F.col(c)).otherwise(F.col(c))).alias(f"b{c}") for c in names]
-    lanes = counts.groupBy("range", "place").agg(*own, *changed)
-    lanes = lanes.select(
-        "range", "place", _near_lanes([f"as{i}" for i in range(NEAR // 2)], "an").alias("near"),
-        _near_lanes([f"bs{i}" for i in range(NEAR // 2)], "bn").alias("edited_near"),
-    )
+    blocks = counts.groupBy("range", "place", "block").agg(*own, *changed)
+    blocks = blocks.select("range", "place", "block", _block_lanes("a").alias("a"), _block_lanes("b").alias("b"))
+    lanes = blocks.groupBy("range", "place").agg(_all_lanes("a").alias("near"), _all_lanes("b").alias("edited_near"))
     exact = placed.select(
         "range", "place", "ghost", "doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"),
-        exact_lanes(F.col("text")).alias("exact"), exact_lanes(F.col("edited")).alias("edited_exact"),
+        paragraph_digests(F.col("text")).alias("digests"), paragraph_digests(F.col("edited")).alias("edited_digests"),
+    )
+    exact = exact.select(
+        "range", "place", "ghost", "doc_id", "n_chars", "edited_sha256", exact_lanes("digests").alias("exact"),
+        exact_lanes("edited_digests").alias("edited_exact"),
     )
     both = exact.join(lanes, ["range", "place"])
     along = Window.partitionBy("range").orderBy("place")

@@ -100,12 +100,15 @@ def shard_documents(docs: DataFrame, limit: int = LIMIT, key: str = "doc_id", te
 
 
 def write_shards(docs: DataFrame, path: str, limit: int = LIMIT, key: str = "doc_id", text: str = "text") -> None:
-    """Write the documents with all their columns, a folder `shard_<bits>` for each shard. A shard is one task's work, and
-    bounded by the limit."""
+    """Write the documents with all their columns, a folder `shard=shard_<bits>` for each shard (`shard_=` if a column has
+    that name). A shard is one task's work, and bounded by the limit."""
+    folder = "shard"
+    while folder in docs.columns:
+        folder += "_"
     rows = packed(docs).select(
         "rec", _hash_bits(F.col(f"rec.{key}"), F.monotonically_increasing_id()).alias("bits"),
         F.octet_length(F.coalesce(F.col(f"rec.{text}").cast("string"), F.lit(""))).cast("long").alias("n_bytes"),
     )
     rows = materialize(rows, "rows")  # row numbers stay as they are when tasks run again
-    out = assign_shards(rows, limit).select("rec", F.concat(F.lit("shard_"), F.col("shard")).alias("shard"))
-    out.repartition("shard").write.partitionBy("shard").parquet(path)
+    out = assign_shards(rows, limit).select("rec.*", F.concat(F.lit("shard_"), F.col("shard")).alias(folder))
+    out.repartition(folder).write.partitionBy(folder).parquet(path)
