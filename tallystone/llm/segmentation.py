@@ -139,8 +139,7 @@ class Lattices:
         self._prob = _Growing(np.float64)
         self._to = _Growing(np.int32)
         self._id_begin, self._id_count = _Growing(np.int32), _Growing(np.int16)
-        self.first_edge, self.prob = self._first_edge.values(), self._prob.values()
-        self.root = self._root.values()
+        self._publish()
         self.id_flat = np.arange(len(self.pieces.begin) - 1)
 
     def numbers(self, units: list[str]) -> np.ndarray:
@@ -227,6 +226,9 @@ class Lattices:
         self._to.extend(node + t)
         self._id_begin.extend(i)
         self._id_count.extend(c)
+        self._publish()
+
+    def _publish(self) -> None:
         for name in ("root", "first_edge", "cumulative", "prob", "to", "id_begin", "id_count"):
             setattr(self, name, getattr(self, f"_{name}").values())
 
@@ -260,34 +262,55 @@ class Lattices:
         logs = np.bincount(owner, weights=np.log(self.prob[edge]), minlength=len(nodes))
         return flat, begin, logs
 
-    def other_path(self, root: int, taken: list[list[int]], seed: int) -> list[int]:
-        """A path from root drawn among those that are not taken: where it leaves the first taken path, then freely."""
-        numbers = _numbers(seed)
-        while True:
-            node, keep, total, leaves = root, 1.0, 0.0, []
-            for e in taken[0]:
-                a, b = int(self.first_edge[node]), int(self.first_edge[node + 1])
-                total += keep * sum(self.prob[x] for x in range(a, b) if x != e)
-                leaves.append((total, node, e))
-                keep *= self.prob[e]
-                node = int(self.to[e])
-            draw = next(numbers) * total
-            at = next(i for i, leaf in enumerate(leaves) if leaf[0] > draw)
-            _, node, but = leaves[at]
-            path = taken[0][:at]
-            while (a := int(self.first_edge[node])) < (b := int(self.first_edge[node + 1])):
-                edges = [x for x in range(a, b) if x != but]
-                draw = next(numbers) * sum(self.prob[x] for x in edges)
-                edge = edges[-1]
-                for x in edges:
-                    draw -= self.prob[x]
-                    if draw < 0:
-                        edge = x
-                        break
-                path = [*path, edge]
-                node, but = int(self.to[edge]), -1
-            if path not in taken:
-                return path
+    def _tails(self, path: list[int], node: int) -> list[float]:
+        """For each step of a path: the probability, from there on, of all other paths. Sums of what is left, no differences."""
+        nodes = [node, *(int(self.to[e]) for e in path)]
+        out = [0.0] * (len(path) + 1)
+        for d in range(len(path) - 1, -1, -1):
+            a, b = int(self.first_edge[nodes[d]]), int(self.first_edge[nodes[d] + 1])
+            out[d] = float(self.prob[path[d]]) * out[d + 1] + sum(float(self.prob[x]) for x in range(a, b) if x != path[d])
+        return out
+
+    def left_out(self, node: int, taken: list[list[int]]) -> float:
+        """The probability, from a node on, of all paths but the taken ones, which are distinct."""
+        total, keep, depth = 0.0, 1.0, 0
+        while len(taken) > 1:
+            edges = range(int(self.first_edge[node]), int(self.first_edge[node + 1]))
+            heads = {path[depth] for path in taken}
+            total += keep * sum(float(self.prob[e]) for e in edges if e not in heads)
+            if len(heads) > 1:
+                inner = {e: [path[depth + 1:] for path in taken if path[depth] == e] for e in heads}
+                return total + keep * sum(float(self.prob[e]) * self.left_out(int(self.to[e]), own) for e, own in inner.items())
+            edge = heads.pop()
+            keep, node, depth = keep * float(self.prob[edge]), int(self.to[edge]), depth + 1
+        return total + keep * (self._tails(taken[0][depth:], node)[0] if taken else 1.0)
+
+    def other_path(self, node: int, taken: list[list[int]], seed: int) -> list[int]:
+        """A path from a node on, drawn among all but the taken ones."""
+        numbers, path, tails, depth = _numbers(seed), [], None, 0
+        while (a := int(self.first_edge[node])) < (b := int(self.first_edge[node + 1])):
+            weights = [float(x) for x in self.prob[a:b]]
+            if len(taken) == 1:
+                if tails is None:
+                    tails, depth = self._tails(taken[0], node), 0
+                weights[taken[0][depth] - a] *= tails[depth + 1]
+            elif taken:
+                for e in {p[0] for p in taken}:
+                    weights[e - a] *= self.left_out(int(self.to[e]), [p[1:] for p in taken if p[0] == e])
+            draw, at = next(numbers) * sum(weights), 0
+            while at < b - a - 1 and (weights[at] <= 0 or draw >= weights[at]):
+                draw -= weights[at]
+                at += 1
+            while weights[at] <= 0:
+                at -= 1
+            edge = a + at
+            path.append(edge)
+            if tails is not None:
+                taken, depth = (taken if taken and taken[0][depth] == edge else []), depth + 1
+            else:
+                taken = [p[1:] for p in taken if p[0] == edge]
+            node = int(self.to[edge])
+        return path
 
     def piece_ids(self, edges: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the edges, and where those of each edge begin (one more than edges)."""
@@ -338,9 +361,13 @@ def sample_text(lattices: Lattices, roots: np.ndarray, rounds: list[_Path], seed
 
     def split(path: _Path, number: int, value: float, start: int) -> None:
         before = np.concatenate([[0.0], np.cumsum(path.logs)[:-1]])[start:] if len(path.logs) else np.zeros(0)
-        with np.errstate(divide="ignore", invalid="ignore"):
-            p = np.exp(np.minimum(path.logs[start:], 0.0))
-            mass = before + np.where(p < 1 - 1e-12, np.log1p(-np.minimum(p, 1 - 1e-15)), -np.inf)
+        p = np.exp(np.minimum(path.logs[start:], 0.0))
+        others = 1.0 - p
+        for i in np.flatnonzero(others < 1e-6).tolist():  # where the difference would be all rounding
+            unit = start + i
+            others[i] = lattices.left_out(int(roots[unit]), [path.edges[path.begin[unit]:path.begin[unit + 1]].tolist()])
+        with np.errstate(divide="ignore"):
+            mass = before + np.log(others)
         values = truncated_gumbel(mass, value, draws(len(path.logs), 2 * number + 1)[start:])
         # Only as many sets as segmentations are still wanted can matter, and one for the threshold.
         most = len(rounds) + 1
@@ -366,8 +393,8 @@ def sample_text(lattices: Lattices, roots: np.ndarray, rounds: list[_Path], seed
         found.append((path, value))
         # What is left of the set: other paths at the same unit.
         gone = [*taken, own]
-        mass_left = 1.0 - float(sum(np.exp(np.log(lattices.prob[x]).sum()) for x in gone))
-        if mass_left > 1e-12:
+        mass_left = lattices.left_out(int(roots[unit]), gone)
+        if mass_left > 0:
             location = float(parent.logs[:unit].sum() + np.log(mass_left))
             again = truncated_gumbel(np.array([location]), value, draws(1, 2 * this + 2))[0]
             sets.append((float(again), number, unit, gone))
