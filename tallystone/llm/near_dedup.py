@@ -40,7 +40,7 @@ from tallystone.llm.components import components
 from tallystone.session import materialize
 
 WORDS, THRESHOLD = 5, 0.8
-BANDS, ROWS = 12, 3
+BANDS, ROWS, SKETCH = 12, 3, 256
 SLOT_BITS = 18
 WEIGHT_BITS, WEIGHT_STEP = 26, 64  # a packed feature: 38 hash bits, then the weight in 64ths
 
@@ -174,6 +174,22 @@ def _featurer(weights: np.ndarray):
     return pack
 
 
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """More samples of texts, from their packed features."""
+    sampler = _Sampler(SKETCH)
+    for batch in batches:
+        nodes, out = [], []
+        for i, packed_row in enumerate(batch.column("features").to_pylist()):
+            x = np.frombuffer(packed_row, np.uint64)
+            if len(x):
+                weights = (x & np.uint64((1 << WEIGHT_BITS) - 1)).astype(np.float32) / WEIGHT_STEP
+                nodes.append(i)
+                out.append(sampler(x >> np.uint64(WEIGHT_BITS) << np.uint64(WEIGHT_BITS), weights, np.zeros(1, np.int64)).view(np.int32))
+        flat = np.concatenate(out).ravel() if out else np.zeros(0, np.int32)
+        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, SKETCH, dtype=np.int32)), pa.array(flat))
+        yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(nodes, pa.int64())), lists], names=["node", "sketch"])
+
+
 def weighted_jaccard(a: bytes, b: bytes) -> float:
     x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
     mask = np.uint64((1 << WEIGHT_BITS) - 1)
@@ -211,6 +227,18 @@ def _labelled(pairs: DataFrame, labels: DataFrame) -> DataFrame:
     return out.withColumn("la", F.coalesce("la", "a")).withColumn("lb", F.coalesce("lb", "b"))
 
 
+def _merged(labels: DataFrame, found: DataFrame) -> DataFrame:
+    """Labels after further links: only the labels they join are worked on."""
+    joined = materialize(components(_labelled(found, labels).select(F.col("la").alias("a"), F.col("lb").alias("b"))), "joined")
+    own = labels.unionByName(joined.select("node", F.col("node").alias("label"))).dropDuplicates(["node"])
+    moved = joined.select(F.col("node").alias("label"), F.col("label").alias("new"))
+    return materialize(own.join(moved, "label", "left").select("node", F.coalesce("new", "label").alias("label")), "labels")
+
+
+def _relabelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    return rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
 def _links(signed: DataFrame, feature_table, threshold: float) -> DataFrame:
     """Verified links (a, b, similarity) whose components are those of all candidate pairs."""
     keys = F.array(*[
@@ -228,37 +256,46 @@ def _links(signed: DataFrame, feature_table, threshold: float) -> DataFrame:
 
     # Buckets of several components: who else could be linked?
     labels = materialize(components(links), "labels")
-    placed = shared.select("node", "bucket").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    placed = _relabelled(shared.select("node", "bucket"), labels)
     sizes = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
     mixed = sizes.groupBy("bucket").agg(F.max(F.struct("n", "label"))["label"].alias("largest"), F.count(F.lit(1)).alias("labels")).where("labels > 1")
     placed = materialize(placed.join(mixed, "bucket"), "mixed")
-    # One agreement of the other samples must remain likely at the threshold: six standard deviations below it.
-    count = BANDS * ROWS
-    least = math.floor(count * threshold - 6 * math.sqrt(count * threshold * (1 - threshold)))
-    a = placed.where("label != largest").select("bucket", F.col("node").alias("a"), F.col("label").alias("la"))
-    b = placed.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"), "largest")
-    own = signed.select(F.col("node").alias("a"), F.col("samples").alias("sa"))
-    other = signed.select(F.col("node").alias("b"), F.col("samples").alias("sb"))
+    features = feature_table(placed.select("node").distinct())
+
+    # First the best linked text of each bucket, which stands in the middle of its group.
+    degree = links.select(F.col("a").alias("node")).union(links.select("b")).groupBy("node").agg(F.count(F.lit(1)).alias("degree"))
+    ranked = placed.join(degree, "node", "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+    middle = ranked.groupBy("bucket").agg(F.max(F.struct("degree", "node", "label")).alias("m"))
+    near = ranked.join(middle, "bucket").where(F.col("label") != F.col("m.label"))
+    batch = _ordered(near.select(F.col("node").alias("a"), F.col("m.node").alias("b"))).distinct().join(pairs, ["a", "b"], "left_anti")
+    batch = materialize(batch, "middle")
+    tested = pairs.unionByName(batch)
+    found = materialize(_verified(batch, features, threshold), "verified")
+    links, labels = links.unionByName(found), _merged(labels, found)
+
+    # Then all pairs whose sketches leave the threshold likely: at most four standard deviations below it.
+    sketches = materialize(features.mapInArrow(_sketch, "node binary, sketch array<int>"), "sketches")
+    least = math.floor(SKETCH * threshold - 4 * math.sqrt(SKETCH * threshold * (1 - threshold)))
+    placed = _relabelled(placed.drop("label", "largest"), labels)
+    largest = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
+        F.max(F.struct("n", "label"))["label"].alias("largest"), F.count(F.lit(1)).alias("labels")
+    ).where("labels > 1").drop("labels")
+    placed = materialize(placed.join(largest, "bucket").join(sketches, "node"), "placed")
+    a = placed.where("label != largest").select("bucket", F.col("node").alias("a"), F.col("label").alias("la"), F.col("sketch").alias("sa"))
+    b = placed.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("sketch").alias("sb"), "largest")
     agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
-    open_pairs = (
-        a.join(own, "a").join(b.join(other, "b"), "bucket")
-        .where((F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("largest")) | (F.col("a") < F.col("b"))))
-        .withColumn("agree", agree).where(F.col("agree") >= least)
-    )
-    open_pairs = _ordered(open_pairs, "agree").distinct().join(pairs, ["a", "b"], "left_anti")
+    open_pairs = a.join(b, "bucket").where(
+        (F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("largest")) | (F.col("a") < F.col("b"))) & (agree >= least)
+    ).withColumn("agree", agree)
+    open_pairs = _ordered(open_pairs, "agree").distinct().join(tested, ["a", "b"], "left_anti")
     open_pairs = materialize(open_pairs, "open")
     each = 4
     while not open_pairs.isEmpty():
         best = Window.partitionBy("a").orderBy(F.desc("agree"), "b")
         batch = open_pairs.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= each).select("a", "b")
         batch = materialize(batch, "batch")
-        features = feature_table(batch.select(F.col("a").alias("node")).union(batch.select("b")).distinct())
         found = materialize(_verified(batch, features, threshold), "verified")
-        links = links.unionByName(found)
-        joined = materialize(components(_labelled(found, labels).select(F.col("la").alias("a"), F.col("lb").alias("b"))), "joined")
-        moved = joined.select(F.col("node").alias("label"), F.col("label").alias("new"))
-        own = labels.unionByName(joined.select("node", F.col("node").alias("label"))).dropDuplicates(["node"])
-        labels = materialize(own.join(moved, "label", "left").select("node", F.coalesce("new", "label").alias("label")), "labels")
+        links, labels = links.unionByName(found), _merged(labels, found)
         rest = _labelled(open_pairs.join(batch, ["a", "b"], "left_anti"), labels)
         open_pairs = materialize(rest.where(F.col("la") != F.col("lb")).select("a", "b", "agree"), "open")
         each *= 8
