@@ -22,6 +22,7 @@ empty result; further columns are not read; U+2581, the sign for a space, decode
 
 from __future__ import annotations
 
+import functools
 import hashlib
 import re
 from collections.abc import Iterator
@@ -36,7 +37,7 @@ from tallystone.llm.arrays import mix
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 UNIT = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+")
-CHUNK, KEPT_UNITS = 1 << 20, 150_000
+CHUNK, KEPT_UNITS = 1 << 18, 60_000
 _STEP, _UNIT, _ROUND = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -137,6 +138,7 @@ class Lattices:
         self._first_edge.extend(np.zeros(1))
         self._cumulative = _Growing(np.float64)  # by edge: cumulative probability in its node
         self._prob = _Growing(np.float64)
+        self._rest = _Growing(np.float64)  # by edge: probability of the node's other edges
         self._to = _Growing(np.int32)
         self._id_begin, self._id_count = _Growing(np.int32), _Growing(np.int16)
         self._publish()
@@ -215,26 +217,35 @@ class Lattices:
         node = s + unit_of[s] + node_base
         head = np.flatnonzero(np.concatenate([[True], s[1:] != s[:-1]]))
         sizes = np.diff(np.append(head, len(s)))
-        running = np.cumsum(prob)
-        running -= np.repeat(running[head] - prob[head], sizes)
-        running /= np.repeat(running[head + sizes - 1], sizes)
+        # Node by node, so that no rounding depends on what else is in the batch.
+        running, rest = prob.copy(), np.zeros(len(prob))
+        for k in range(1, int(sizes.max())):
+            more = head[sizes > k]
+            running[more + k] += running[more + k - 1]
+            rest[more] += prob[more + k]
+        others = np.ones(len(prob), bool)
+        others[head] = False
+        rest[others] = np.repeat(running[head + sizes - 1], sizes)[others] - prob[others]
         degree = np.bincount(node - node_base, minlength=n + len(units))
         self._root.extend(node_base + ends - lengths + np.arange(len(units)))
         self._first_edge.extend(edge_base + np.cumsum(degree))
         self._cumulative.extend(running)
         self._prob.extend(prob)
+        self._rest.extend(rest)
         self._to.extend(node + t)
         self._id_begin.extend(i)
         self._id_count.extend(c)
         self._publish()
 
     def _publish(self) -> None:
-        for name in ("root", "first_edge", "cumulative", "prob", "to", "id_begin", "id_count"):
+        for name in ("root", "first_edge", "cumulative", "prob", "rest", "to", "id_begin", "id_count"):
             setattr(self, name, getattr(self, f"_{name}").values())
 
-    def walk(self, nodes: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Draw a path from each node to its unit's end: edges (path after path), begins of paths, log-probabilities."""
+    def walk(self, nodes: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Draw a path from each node to its unit's end: edges (path after path), begins of paths, log-probabilities, and the
+        probability of all other paths."""
         owners, edges, steps = [], [], []
+        keep, leave = np.ones(len(nodes)), np.zeros(len(nodes))
         owner, node, step = np.arange(len(nodes)), nodes, 0
         while len(owner):
             open_ = self.first_edge[node + 1] > self.first_edge[node]
@@ -248,19 +259,21 @@ class Lattices:
             while len(on):
                 edge[on] += 1
                 on = on[(self.cumulative[edge[on]] <= u[on]) & (edge[on] < last[on])]
+            leave[owner] += keep[owner] * self.rest[edge]
+            keep[owner] *= self.prob[edge]
             owners.append(owner)
             edges.append(edge)
             steps.append(np.full(len(owner), step))
             node = self.to[edge]
             step += 1
         if not owners:
-            return np.zeros(0, np.int64), np.zeros(len(nodes) + 1, np.int64), np.zeros(len(nodes))
+            return np.zeros(0, np.int64), np.zeros(len(nodes) + 1, np.int64), np.zeros(len(nodes)), leave
         owner, edge, step = np.concatenate(owners), np.concatenate(edges), np.concatenate(steps)
         begin = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(nodes)))])
         flat = np.empty(len(edge), np.int64)
         flat[begin[owner] + step] = edge
         logs = np.bincount(owner, weights=np.log(self.prob[edge]), minlength=len(nodes))
-        return flat, begin, logs
+        return flat, begin, logs, leave
 
     def _tails(self, path: list[int], node: int) -> list[float]:
         """For each step of a path: the probability, from there on, of all other paths. Sums of what is left, no differences."""
@@ -335,7 +348,7 @@ def _numbers(seed: int) -> Iterator[float]:
         seed = (seed * 6364136223846793005 + 1442695040888963407) & (2**64 - 1)
 
 
-def truncated_gumbel(location: np.ndarray, bound: float, u: np.ndarray) -> np.ndarray:
+def truncated_gumbel(location: np.ndarray, bound: float | np.ndarray, u: np.ndarray) -> np.ndarray:
     """Gumbel values at the locations, given that they are below the bound; minus infinity at minus infinity."""
     with np.errstate(over="ignore", divide="ignore"):
         free = location - np.log(-np.log(u))
@@ -343,32 +356,33 @@ def truncated_gumbel(location: np.ndarray, bound: float, u: np.ndarray) -> np.nd
 
 
 class _Path:
-    """A drawn segmentation: edges by unit, log-probability of each unit."""
+    """A drawn segmentation: edges by unit, log-probability of each unit, and the probability of the unit's other paths."""
 
-    def __init__(self, edges: np.ndarray, begin: np.ndarray, logs: np.ndarray) -> None:
-        self.edges, self.begin, self.logs = edges, begin, logs
+    def __init__(self, edges: np.ndarray, begin: np.ndarray, logs: np.ndarray, leave: np.ndarray) -> None:
+        self.edges, self.begin, self.logs, self.leave = edges, begin, logs, leave
+
+    def leaving(self, start: int = 0) -> np.ndarray:
+        """Log-mass, by unit from start on, of the segmentations that follow the path up to the unit and leave it there."""
+        if start >= len(self.logs):
+            return np.zeros(0)
+        before = np.concatenate([[0.0], np.cumsum(self.logs[:-1])])
+        with np.errstate(divide="ignore"):
+            return before[start:] + np.log(self.leave[start:])
 
 
-def sample_text(lattices: Lattices, roots: np.ndarray, rounds: list[_Path], seed: int) -> list[tuple[np.ndarray, float, float, float]]:
+def sample_text(
+    lattices: Lattices, roots: np.ndarray, rounds: list[_Path], seed: int, first: float, values: np.ndarray
+) -> list[tuple[np.ndarray, float, float, float]]:
     """Edges, log-probability, perturbed value and inclusion score of the segmentations of one text. rounds: an independent
-    draw of all units for each sample."""
+    draw of all units for each sample; first: the value of the first, values: those of the sets that leave it, by unit."""
     def draws(count: int, stream: int) -> np.ndarray:
         with np.errstate(over="ignore"):
             return uniform(np.uint64(seed) + np.arange(count, dtype=np.uint64) * _UNIT + np.uint64(stream) * _ROUND)
 
-    found: list[tuple[_Path, float]] = []
+    found: list[tuple[_Path, float]] = [(rounds[0], first)]
     sets: list[tuple[float, int, int, list[list[int]]]] = []  # value, path, unit, paths taken there
 
-    def split(path: _Path, number: int, value: float, start: int) -> None:
-        before = np.concatenate([[0.0], np.cumsum(path.logs)[:-1]])[start:] if len(path.logs) else np.zeros(0)
-        p = np.exp(np.minimum(path.logs[start:], 0.0))
-        others = 1.0 - p
-        for i in np.flatnonzero(others < 1e-6).tolist():  # where the difference would be all rounding
-            unit = start + i
-            others[i] = lattices.left_out(int(roots[unit]), [path.edges[path.begin[unit]:path.begin[unit + 1]].tolist()])
-        with np.errstate(divide="ignore"):
-            mass = before + np.log(others)
-        values = truncated_gumbel(mass, value, draws(len(path.logs), 2 * number + 1)[start:])
+    def split(path: _Path, number: int, values: np.ndarray, start: int) -> None:
         # Only as many sets as segmentations are still wanted can matter, and one for the threshold.
         most = len(rounds) + 1
         best = np.argpartition(-values, most)[:most] if len(values) > most else np.arange(len(values))
@@ -377,9 +391,7 @@ def sample_text(lattices: Lattices, roots: np.ndarray, rounds: list[_Path], seed
                 unit = start + i
                 sets.append((float(values[i]), number, unit, [path.edges[path.begin[unit]:path.begin[unit + 1]].tolist()]))
 
-    first = float(-np.log(-np.log(draws(1, 999_983)[0])))
-    found.append((rounds[0], first))
-    split(rounds[0], 0, first, 0)
+    split(rounds[0], 0, values, 0)
     while len(found) < len(rounds) and sets:
         sets.sort(key=lambda s: -s[0])
         value, number, unit, taken = sets.pop(0)
@@ -389,7 +401,10 @@ def sample_text(lattices: Lattices, roots: np.ndarray, rounds: list[_Path], seed
         a, b, c = parent.begin[unit], fresh.begin[unit + 1], len(own)
         edges = np.concatenate([parent.edges[:a], np.array(own, np.int64), fresh.edges[b:]])
         begin = np.concatenate([parent.begin[:unit + 1], fresh.begin[unit + 1:] - b + a + c])
-        path = _Path(edges, begin, np.concatenate([parent.logs[:unit], [own_log], fresh.logs[unit + 1:]]))
+        path = _Path(
+            edges, begin, np.concatenate([parent.logs[:unit], [own_log], fresh.logs[unit + 1:]]),
+            np.concatenate([parent.leave[:unit], [0.0], fresh.leave[unit + 1:]]),  # at this unit, see below
+        )
         found.append((path, value))
         # What is left of the set: other paths at the same unit.
         gone = [*taken, own]
@@ -398,7 +413,8 @@ def sample_text(lattices: Lattices, roots: np.ndarray, rounds: list[_Path], seed
             location = float(parent.logs[:unit].sum() + np.log(mass_left))
             again = truncated_gumbel(np.array([location]), value, draws(1, 2 * this + 2))[0]
             sets.append((float(again), number, unit, gone))
-        split(path, this, value, unit + 1)
+        mass = path.leaving(unit + 1)
+        split(path, this, truncated_gumbel(mass, value, draws(len(mass), 2 * this + 1)), unit + 1)
     threshold = max((s[0] for s in sets), default=-np.inf)
     out = []
     for path, value in found:
@@ -412,11 +428,17 @@ def sample_text(lattices: Lattices, roots: np.ndarray, rounds: list[_Path], seed
     return out
 
 
+@functools.lru_cache(1)
+def _lattices(model: bytes) -> Lattices:
+    """The lattices of a worker: its tasks go on with the units that earlier ones met."""
+    return Lattices(Pieces(model))
+
+
 def _sampler(model: bytes, samples: int, seed: int):
     names = ["rec", "sample", "ids", "log_prob", "perturbed", "inclusion"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lattices = Lattices(Pieces(model))
+        lattices = _lattices(model)
         for batch in batches:
             keys, texts = batch.column("key").to_pylist(), batch.column("text").to_pylist()
             row = 0
@@ -436,11 +458,17 @@ def _sampler(model: bytes, samples: int, seed: int):
                 with np.errstate(over="ignore"):
                     unit_seeds = np.repeat(seeds, np.diff(begin)) + (np.arange(begin[-1]) - np.repeat(begin[:-1], np.diff(begin))).astype(np.uint64) * _UNIT
                     drawn = [lattices.walk(roots, mix(unit_seeds + np.uint64(r + 1) * _ROUND)) for r in range(samples)]
+                # The first draw of every text, its value, and the values of the sets that leave it.
+                paths = [[_Path(e[s[a]:s[b]], s[a:b + 1] - s[a], lo[a:b], le[a:b]) for e, s, lo, le in drawn] for a, b in zip(begin[:-1], begin[1:])]
+                counts = np.diff(begin)
+                mass = np.concatenate([rounds[0].leaving() for rounds in paths])
+                with np.errstate(over="ignore"):
+                    firsts = -np.log(-np.log(uniform(seeds + np.uint64(999_983) * _ROUND)))
+                    sets = truncated_gumbel(mass, np.repeat(firsts, counts), uniform(unit_seeds + _ROUND))
                 owner, number, ids, offsets, logs, values, scores = [], [], [], [0], [], [], []
                 for d in range(last - row):
                     a, b = begin[d], begin[d + 1]
-                    rounds = [_Path(e[s[a]:s[b]], s[a:b + 1] - s[a], lo[a:b]) for e, s, lo in drawn]
-                    for n, (edges, log, value, score) in enumerate(sample_text(lattices, roots[a:b], rounds, int(seeds[d]))):
+                    for n, (edges, log, value, score) in enumerate(sample_text(lattices, roots[a:b], paths[d], int(seeds[d]), float(firsts[d]), sets[a:b])):
                         got, _ = lattices.piece_ids(edges)
                         owner.append(row + d)
                         number.append(n)
@@ -476,7 +504,7 @@ def sample_segmentations(
 
 def _decoder(model: bytes):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(model)
+        pieces = _lattices(model).pieces
         for batch in batches:
             lists = batch.column("ids")
             offsets, flat = lists.offsets.to_numpy(), lists.values.to_numpy()
