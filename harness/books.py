@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tallystone.operators import journal
 from tallystone.session import materialize
 from tallystone.schema import EXPECTED_COLUMNS
-from tallystone.sources.raw import as_raw, spread_scan, with_row_uid
+from tallystone.sources.raw import as_raw, with_row_uid
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 # Source tables of the engine: a real deployment has them in storage, so they are written once here.
@@ -445,11 +445,16 @@ def duck_sql(query: str) -> str:
         visit(name)
     strip = lambda text: re.sub(r"\[([a-z_]+)\]", r"\1", text)
     # A leading underscore-free alias per view; base tables keep their names.
-    views = ",\n".join(f"{n} AS ({strip(_duck_text(n))})" for n in ordered)
+    # A view that is read more than once is worked out once.
+    texts = [query, *map(_duck_text, ordered)]
+    uses = {n: sum(text.count(f"[{n}]") for text in texts) for n in ordered}
+    views = ",\n".join(f"{n} AS {'MATERIALIZED ' if uses[n] > 1 else ''}({strip(_duck_text(n))})" for n in ordered)
     return (f"WITH {views}\n" if views else "") + strip(query)
 
 
 EXTRA_DUCK_VIEWS: dict[str, str] = {}
+# Tables that differ with the models that compete.
+OF_MODELS = ("forecast_parts", "forecasts", "calibration", "paths", "plan")
 
 
 def _duck_text(name: str) -> str:
@@ -473,7 +478,13 @@ class Books:
         return cls._known[key]
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark, self.sf_dir, self._frames = spark, sf_dir, {}
+        self.spark, self.sf_dir, self._frames, self.models = spark, sf_dir, {}, "baselines"
+
+    def with_all_models(self) -> Books:
+        """The same books, in which every forecast model competes; tables that do not depend on it are shared."""
+        other = Books(self.spark, self.sf_dir)
+        other._frames, other.models = self._frames, "all"
+        return other
 
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
@@ -483,8 +494,7 @@ class Books:
 
     def _build(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
-            df = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-            return spread_scan(df) if name in FACT_TABLES else df
+            return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
         if name in SPARK_VIEWS:
             return SPARK_VIEWS[name](self)
         sql = VIEWS[name]
@@ -493,6 +503,8 @@ class Books:
 
     def once(self, name: str, build: Callable[[Books], DataFrame]) -> DataFrame:
         """An intermediate table that several queries start from, written the first time it is asked for."""
+        if name in OF_MODELS:
+            name = f"{name}_{self.models}"
         if name not in self._frames:
             self._frames[name] = materialize(build(self), name)
         return self._frames[name]

@@ -16,7 +16,7 @@ from tallystone.operators import boosting, cash_plan, forecasting, liquidity, pa
 from tallystone.operators.working_capital import working_capital
 
 SETTINGS = ForecastSettings()
-SIMULATION = SimulationSettings(n_simulations=2_000)
+SIMULATION = SimulationSettings()
 ALL_SCENARIOS = list(SCENARIOS)
 # Policies at the size of the derived books.
 RISK_POLICY = LiquiditySettings(minimum_cash=650_000_000.0)
@@ -137,14 +137,19 @@ def forecast_gbt(b: Books) -> DataFrame:
     return plain(boosting.gradient_boosting(forecasting.to_arrays(series(b)), SETTINGS.horizon))
 
 
+def competing(b: Books) -> dict[str, forecasting.Model]:
+    """SQL expresses the baselines; `<query>_all_models` runs all."""
+    return forecasting.all_models() if b.models == "all" else forecasting.BASELINES
+
+
 def compared(b: Books) -> DataFrame:
-    return forecasting.holdout(forecasting.to_arrays(series(b)), forecasting.BASELINES, SETTINGS)
+    return forecasting.holdout(forecasting.to_arrays(series(b)), competing(b), SETTINGS)
 
 
 _ERRORS = ("mae", "rmse", "mape", "smape")
 
 
-@query("forecast_metrics", f"SELECT entity_id, metric, model, {ratio(*_ERRORS, digits=3, off_ties=True)} FROM [evaluation]")
+@query("forecast_metrics", f"SELECT entity_id, metric, model, {ratio(*_ERRORS, digits=3, off_ties=True)} FROM [evaluation]", models=True)
 def forecast_metrics(b: Books) -> DataFrame:
     return plain(forecasting.error_metrics(compared(b)), digits=3, off_ties=True)
 
@@ -152,28 +157,30 @@ def forecast_metrics(b: Books) -> DataFrame:
 @query(
     "forecast_evaluation",
     f"SELECT entity_id, metric, model, step, {ratio('forecast', 'actual', digits=3)} FROM [compared]",
+    models=True,
 )
 def forecast_evaluation(b: Books) -> DataFrame:
     return plain(compared(b), digits=3)
 
 
-@query("forecast_selection", "SELECT entity_id, metric, model FROM [evaluation] WHERE selected")
+@query("forecast_selection", "SELECT entity_id, metric, model FROM [evaluation] WHERE selected", models=True)
 def forecast_selection(b: Books) -> DataFrame:
     chosen = forecasting.select_models(forecasting.error_metrics(compared(b)))
     return chosen.where("selected").select("entity_id", "metric", "model")
 
 
 def forecasts(b: Books) -> DataFrame:
-    return b.once("forecasts", lambda books: forecasting.build_forecasts(series(books))[0])
+    return b.once("forecasts", lambda books: forecasting.build_forecasts(series(books), competing(books))[0])
 
 
 def evaluation(b: Books) -> DataFrame:
-    return forecasting.build_forecasts(series(b))[1]
+    return forecasting.build_forecasts(series(b), competing(b))[1]
 
 
 @query(
     "forecast_intervals",
     "SELECT entity_id, metric, model, round(residual_std, 3) AS residual_std FROM [evaluation]",
+    models=True,
 )
 def forecast_intervals(b: Books) -> DataFrame:
     return plain(forecasting.residual_deviation(compared(b)), digits=3)
@@ -182,22 +189,13 @@ def forecast_intervals(b: Books) -> DataFrame:
 @query(
     "forecasts",
     f"SELECT entity_id, metric, {month()}, step, model, {ratio('forecast', 'ci_lower', 'ci_upper', digits=3)} FROM [forecasts]",
+    models=True,
 )
 def forecasts_query(b: Books) -> DataFrame:
-    return plain(forecasting.build_forecasts(series(b))[0], digits=3)
-
-
-@query("forecasts_all_models")
-def forecasts_all_models(b: Books) -> DataFrame:
-    """Every model competes, as in production use."""
-    models = {
-        **forecasting.BASELINES, "exponential_smoothing": smoothing.exponential_smoothing,
-        "gradient_boosting": boosting.gradient_boosting,
-    }
-    return plain(forecasting.build_forecasts(series(b), models)[0])
+    return plain(forecasting.build_forecasts(series(b), competing(b))[0], digits=3)
 
 
-@query("model_wins", "SELECT model, count(*) AS n_series FROM [evaluation] WHERE selected GROUP BY model")
+@query("model_wins", "SELECT model, count(*) AS n_series FROM [evaluation] WHERE selected GROUP BY model", models=True)
 def model_wins(b: Books) -> DataFrame:
     return forecasting.model_wins(evaluation(b))
 
@@ -208,6 +206,7 @@ def model_wins(b: Books) -> DataFrame:
                CAST(NULL AS DOUBLE) AS ci_upper FROM [series]
         UNION ALL SELECT entity_id, metric, {month()}, 'forecast', round(forecast, 5), round(ci_lower, 5), round(ci_upper, 5)
         FROM [forecasts]""",
+    models=True,
 )
 def actual_vs_forecast(b: Books) -> DataFrame:
     return plain(reports.actual_and_forecast(series(b), forecasts(b)), digits=5)
@@ -217,6 +216,7 @@ def actual_vs_forecast(b: Books) -> DataFrame:
     "model_comparison",
     f"""SELECT model, {ratio(*_ERRORS, digits=3, off_ties=True)}, selected FROM [evaluation]
         WHERE entity_id = 'ASIA' AND metric = 'revenue' ORDER BY rmse, model""",
+    models=True,
 )
 def model_comparison(b: Books) -> DataFrame:
     return plain(reports.model_comparison(evaluation(b), "ASIA", "revenue"), digits=3, off_ties=True)
@@ -301,14 +301,14 @@ V["consolidated"] = "SELECT scenario, sim_id, step, period, sum(cash) AS cash FR
 
 
 @query("scenario_inputs", f"""SELECT scenario, entity_id, step, round(forecast * (1 + revenue_pct), 2) AS revenue_point
-       FROM [forecasts], [scenario_shifts] WHERE metric = 'revenue'""")
+       FROM [forecasts], [scenario_shifts] WHERE metric = 'revenue'""", models=True)
 def scenario_inputs(b: Books) -> DataFrame:
     shifted = paths.with_scenarios(forecasts(b).where(F.col("metric") == "revenue"), ALL_SCENARIOS)
     point = F.col("forecast") * (1 + F.col("revenue_pct"))
     return plain(shifted.select("scenario", "entity_id", "step", point.alias("revenue_point")), digits=2)
 
 
-@query("cash_calibration", f"SELECT scenario, entity_id, step, {month()}, {ratio(*_CALIBRATED, digits=4)}, days FROM [calibration]")
+@query("cash_calibration", f"SELECT scenario, entity_id, step, {month()}, {ratio(*_CALIBRATED, digits=4)}, days FROM [calibration]", models=True)
 def cash_calibration(b: Books) -> DataFrame:
     income, sheet, flow = statement_tables(b)
     history = paths.entity_history(income, working_capital(income, sheet), flow, sheet)
@@ -321,7 +321,7 @@ def cash_paths(b: Books) -> DataFrame:
     return plain(built.select("scenario", "entity_id", "sim_id", "step", "period", "operating_cf", "cash"), digits=1)
 
 
-@query("consolidated_paths", f"SELECT scenario, sim_id, step, {month()}, round(cash, 1) AS cash FROM [consolidated]")
+@query("consolidated_paths", f"SELECT scenario, sim_id, step, {month()}, round(cash, 1) AS cash FROM [consolidated]", models=True)
 def consolidated_paths(b: Books) -> DataFrame:
     return plain(consolidated(b), digits=1)
 
@@ -334,6 +334,7 @@ _FAN = ", ".join(f"round(quantile_cont(cash, {p / 100}), 1) AS p{p}" for p in pa
     f"""SELECT scenario, entity_id, step, {month()}, round(avg(cash), 1) AS mean, round(quantile_cont(cash, 0.5), 1) AS median, {_FAN}
         FROM (SELECT scenario, entity_id, step, period, cash FROM [paths]
               UNION ALL SELECT scenario, 'CONSOLIDATED', step, period, cash FROM [consolidated]) GROUP BY scenario, entity_id, step, period""",
+    models=True,
 )
 def cash_fan(b: Books) -> DataFrame:
     return plain(paths.cash_fan(simulated(b)), digits=1)
@@ -360,7 +361,7 @@ def _present_risk(df: DataFrame) -> DataFrame:
     return plain(df.select(*[F.round(c, 1).alias(c) if c in cents else F.col(c) for c in df.columns]))
 
 
-@query("liquidity_metrics", f"SELECT scenario, {_RISK_COLUMNS} FROM ({_metrics_sql('[consolidated]', RISK_POLICY.minimum_cash)})")
+@query("liquidity_metrics", f"SELECT scenario, {_RISK_COLUMNS} FROM ({_metrics_sql('[consolidated]', RISK_POLICY.minimum_cash)})", models=True)
 def liquidity_metrics(b: Books) -> DataFrame:
     return _present_risk(liquidity.liquidity_metrics(consolidated(b), RISK_POLICY))
 
@@ -370,6 +371,7 @@ def liquidity_metrics(b: Books) -> DataFrame:
     f"""SELECT scenario, step, {month()}, round(avg((cash < {RISK_POLICY.minimum_cash})::INT), 6) AS probability_of_breach,
                round(quantile_cont(cash, 0.5), 1) AS median_cash, round(quantile_cont(cash, 0.05), 1) AS p5_cash
         FROM [consolidated] GROUP BY scenario, step, period""",
+    models=True,
 )
 def breach_by_month(b: Books) -> DataFrame:
     monthly = liquidity.breach_by_month(consolidated(b), RISK_POLICY)
@@ -380,6 +382,7 @@ def breach_by_month(b: Books) -> DataFrame:
     "risk_score",
     f"""SELECT scenario, step, {_RISK} FROM (SELECT scenario, step, avg((cash < {RISK_POLICY.minimum_cash})::INT) AS p
         FROM [consolidated] GROUP BY scenario, step)""",
+    models=True,
 )
 def risk_score(b: Books) -> DataFrame:
     monthly = liquidity.breach_by_month(consolidated(b), RISK_POLICY)
@@ -391,6 +394,7 @@ def risk_score(b: Books) -> DataFrame:
     f"""SELECT scenario, {_RISK}, round(p, 6) AS probability_of_liquidity_breach,
                {ratio('expected_minimum_cash', 'worst_simulated_cash', digits=1)}
         FROM ({_metrics_sql('[consolidated]', RISK_POLICY.minimum_cash)}) WHERE scenario <> 'stress'""",
+    models=True,
 )
 def scenario_risk(b: Books) -> DataFrame:
     chosen = consolidated(b).where(F.col("scenario") != "stress")
@@ -433,32 +437,32 @@ def plan(b: Books) -> DataFrame:
     return b.once("plan", lambda books: cash_plan.search_plan(floors(books), PLAN_POLICY))
 
 
-@query("cash_baseline", f"SELECT scenario, step, {month()}, {ratio(*_BASE, digits=2)} FROM [baseline]")
+@query("cash_baseline", f"SELECT scenario, step, {month()}, {ratio(*_BASE, digits=2)} FROM [baseline]", models=True)
 def cash_baseline(b: Books) -> DataFrame:
     return plain(baseline(b), digits=2)
 
 
-@query("buffered_floor", f"SELECT scenario, step, {month()}, {ratio('cash_baseline', 'cash_std', 'floor', 'real_policy_headroom', digits=1)} FROM [floors]")
+@query("buffered_floor", f"SELECT scenario, step, {month()}, {ratio('cash_baseline', 'cash_std', 'floor', 'real_policy_headroom', digits=1)} FROM [floors]", models=True)
 def buffered_floor(b: Books) -> DataFrame:
     kept = ("cash_baseline", "cash_std", "floor", "real_policy_headroom")
     return plain(floors(b).select("scenario", "step", "period", *kept), digits=1)
 
 
-@query("plan_search")
+@query("plan_search", models=True)
 def plan_search(b: Books) -> DataFrame:
     return plain(cash_plan.search_plan(floors(b), PLAN_POLICY), digits=2)
 
 
-@query("plan_costs")
+@query("plan_costs", models=True)
 def plan_costs(b: Books) -> DataFrame:
     return plain(cash_plan.plan_costs(plan(b), PLAN_POLICY), digits=2)
 
 
-@query("plan_before_after")
+@query("plan_before_after", models=True)
 def plan_before_after(b: Books) -> DataFrame:
     return _present_risk(cash_plan.before_and_after(consolidated(b), plan(b), PLAN_RISK))
 
 
-@query("plan_levers_long")
+@query("plan_levers_long", models=True)
 def plan_levers_long(b: Books) -> DataFrame:
     return plain(reports.plan_levers(plan(b)), digits=2)

@@ -44,7 +44,7 @@ def _rule(dataset: str, rule: str, severity: str, reason: str, where: str, field
 
 def _missing(dataset: str, fields: dict[str, str]) -> list[str]:
     return [
-        _rule(dataset, f"missing_{f}", s, f"Required field '{f}' is missing", _BLANK.format(c=f), f)
+        _rule(dataset, f"missing_{f}", s, f"{f} is empty", _BLANK.format(c=f), f)
         for f, s in fields.items()
     ]
 
@@ -59,11 +59,11 @@ TXN_COMPLETE = _missing(
 )
 TXN_PAYMENT = [
     _rule(TRANSACTIONS, "missing_payment_date_unpaid", "LOW",
-          "payment_date missing on an invoice line -- consistent with it still being open",
+          "no payment date on an invoice line; the item is still open",
           f"{_NO_PAYMENT} AND document_type IN ('Revenue Invoice', 'Vendor Invoice')", "payment_date"),
     _rule(TRANSACTIONS, "missing_payment_date_inconsistent", "HIGH", "",
           f"{_NO_PAYMENT} AND document_type IN ('Cash Receipt', 'Vendor Payment')", "payment_date",
-          "'payment_date missing on a ' || document_type || ' line, which is itself the payment event'"),
+          "'payment booked as ' || document_type || ' without a payment date'"),
 ]
 
 
@@ -76,31 +76,31 @@ def _invoice_complete(dataset: str, party: str, category: str) -> list[str]:
         },
     ) + [
         _rule(dataset, "missing_payment_date_unpaid", "LOW",
-              "payment_date missing, consistent with the invoice not being paid yet",
+              "no payment date, and the status is not Paid",
               f"{_NO_PAYMENT} AND payment_status IS DISTINCT FROM 'Paid'", "payment_date"),
-        _rule(dataset, "missing_payment_date_inconsistent", "HIGH", "payment_date missing despite payment_status='Paid'",
+        _rule(dataset, "missing_payment_date_inconsistent", "HIGH", "status Paid without a payment date",
               f"{_NO_PAYMENT} AND payment_status = 'Paid'", "payment_date"),
     ]
 
 
 def _currency(dataset: str) -> str:
-    return _rule(dataset, "invalid_currency", "HIGH", "Currency not one of ['EUR', 'GBP', 'USD']",
+    return _rule(dataset, "invalid_currency", "HIGH", "currency outside EUR, GBP, USD",
                  "currency NOT IN ('EUR', 'USD', 'GBP')", "currency")
 
 
 def _negative(dataset: str, amount: str) -> str:
     return _rule(dataset, "negative_amount_not_allowed", "MEDIUM",
-                 f"{amount} is negative, which is not a valid value for this field",
+                 f"{amount} below zero",
                  f"{_NUM.format(c=amount)} < 0", amount)
 
 
 def _bad_date(dataset: str, column: str) -> str:
-    return _rule(dataset, "invalid_date", "HIGH", f"'{column}' is not a syntactically valid calendar date",
+    return _rule(dataset, "invalid_date", "HIGH", f"{column} holds no calendar date",
                  f"NOT {_BLANK.format(c=column)} AND {_DATE.format(c=column)} IS NULL", column)
 
 
 def _order(dataset: str, early: str, late: str, rule: str) -> str:
-    return _rule(dataset, rule, "HIGH", f"{late} is earlier than {early}",
+    return _rule(dataset, rule, "HIGH", f"{late} before {early}",
                  f"{_DATE.format(c=late)} < {_DATE.format(c=early)}", late)
 
 
@@ -140,17 +140,17 @@ def _repeated(dataset: str, rule: str, keys: list[str], reason: str) -> str:
 
 
 def _exact(dataset: str) -> str:
-    return _repeated(dataset, "duplicate_exact", ["row_uid"], "Full record is byte-identical to another record in the file")
+    return _repeated(dataset, "duplicate_exact", ["row_uid"], "more than one record has exactly this content")
 
 
 def _invoice(dataset: str) -> str:
-    return _repeated(dataset, "duplicate_invoice", ["invoice_id"], "invoice_id appears on more than one record")
+    return _repeated(dataset, "duplicate_invoice", ["invoice_id"], "invoice_id repeated by another record")
 
 
 def _business(dataset: str, party: str) -> str:
     keys = [party, "invoice_date", "invoice_amount"]
     return _repeated(dataset, "duplicate_business_key", keys,
-                     f"Same {', '.join(keys)} combination appears on more than one record")
+                     f"{' + '.join(keys)} repeated by another record")
 
 
 def _near(dataset: str, party: str) -> str:
@@ -164,7 +164,7 @@ def _near(dataset: str, party: str) -> str:
         "AND abs(b.value - a.value) <= a.value * 0.005"
     )
     return _rule(dataset, "duplicate_near", "MEDIUM",
-                 f"Same {party} and invoice_date, invoice_amount within 0.5% of another record under a different invoice_id",
+                 f"another invoice of this {party} has the same invoice_date and invoice_amount within 0.5%",
                  "true", source=f"({matched})")
 
 
@@ -184,7 +184,7 @@ def _outlier(dataset: str, amount: str, group: str) -> str:
         f"SELECT *, CAST(median(value) OVER (PARTITION BY grp) AS DECIMAL(28,7)) AS med, count(value) OVER (PARTITION BY grp) AS n FROM ({values})))"
     )
     return _rule(dataset, "statistical_outlier", "MEDIUM",
-                 f"{amount} is a statistical outlier relative to same-category records (robust z-score > 8.0)",
+                 f"{amount} more than 8 robust deviations from the median of its category",
                  "n >= 20 AND abs(z) > 8", amount, source=f"({scored})")
 
 
@@ -197,7 +197,7 @@ V["outlier_issues"] = " UNION ALL ".join(OUTLIER.values())
 
 
 def _foreign(dataset: str, column: str, master: str, severity: str = "HIGH") -> str:
-    return _rule(dataset, f"invalid_{column}", severity, f"{column} does not exist in master data",
+    return _rule(dataset, f"invalid_{column}", severity, f"no master record with this {column}",
                  f"{column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM [{master}] m WHERE m.{column} = r.{column})", column)
 
 
@@ -207,7 +207,7 @@ FOREIGN = [
     _foreign(PAYABLES, "entity_id", "entities"), _foreign(PAYABLES, "vendor_id", "vendors"),
 ]
 DRIFT = _rule(TRANSACTIONS, "inconsistent_classification", "HIGH",
-              "account_category on the record does not match the chart of accounts for this account_id",
+              "account_category differs from the chart of accounts",
               "EXISTS (SELECT 1 FROM [chart_of_accounts] m WHERE m.account_id = r.account_id AND m.account_category <> r.account_category)",
               "account_category")
 V["consistency_issues"] = " UNION ALL ".join([*FOREIGN, DRIFT])
@@ -217,7 +217,7 @@ SELECT document_id FROM (SELECT document_id, abs(sum(coalesce({_NUM.format(c='de
 FROM [raw_transactions] WHERE document_id IS NOT NULL GROUP BY document_id) WHERE gap > 0.01"""
 BALANCE = _rule(TRANSACTIONS, "journal_entry_unbalanced", "CRITICAL", "",
                 "document_id IN (SELECT document_id FROM [unbalanced])", None,
-                "'document_id ' || document_id || ' does not balance (sum(debit) != sum(credit))'")
+                "'debits and credits of document ' || document_id || ' differ'")
 
 
 def _tie(dataset: str, amount: str, kind: str, account: str, side: str) -> str:
@@ -244,9 +244,8 @@ V["tie_out"] = (
 _TWO = "CAST(CAST({c} AS DECIMAL(28,2)) AS VARCHAR)"
 V["tie_out_issues"] = f"""
 SELECT CAST(NULL AS VARCHAR) AS row_uid, dataset, 'subledger_tie_out_failure' AS validation_rule, 'HIGH' AS severity,
-       dataset || ' total for ' || entity_id || '/' || strftime(period, '%Y-%m') || ' is ' || {_TWO.format(c='subledger')}
-       || ' but ' || account || ' postings for that entity-month total ' || {_TWO.format(c='gl')} || ' (diff '
-       || {_TWO.format(c='abs(subledger - gl)')} || ')' AS reason, field
+       dataset || ' of ' || entity_id || ' in ' || strftime(period, '%Y-%m') || ': sub-ledger ' || {_TWO.format(c='subledger')}
+       || ', ' || account || ' postings ' || {_TWO.format(c='gl')} || ', off by ' || {_TWO.format(c='abs(subledger - gl)')} AS reason, field
 FROM [tie_out] WHERE abs(subledger - gl) > 0.01"""
 V["reconciliation_issues"] = f"{BALANCE} UNION ALL SELECT * FROM [tie_out_issues]"
 
@@ -427,7 +426,7 @@ def amount_mismatch(b: Books) -> DataFrame:
     return _rules(b, PAYABLES, [validity.gross_rule("0.01", "MEDIUM")])
 
 
-@query("date_order", _sql(*[r for d in ROW_LEVEL_DATASETS for r in ROW_VALIDITY[d] if "is earlier than" in r]))
+@query("date_order", _sql(*[r for d in ROW_LEVEL_DATASETS for r in ROW_VALIDITY[d] if "_date before " in r]))
 def date_order(b: Books) -> DataFrame:
     wanted = ("payment_before_invoice", "invalid_due_date")
     return union_all(

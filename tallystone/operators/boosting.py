@@ -29,7 +29,10 @@ def _scaled(arrays: DataFrame) -> DataFrame:
 def gradient_boosting(arrays: DataFrame, horizon: int, seed: int = 42) -> DataFrame:
     """Forecast of every series; one with fewer than six usable training rows repeats its last value."""
     enough = F.size("values") - max(LAGS) >= MIN_ROWS
+    short = expand_forecast(arrays.where(~enough), "gradient_boosting", naive_values(horizon))
     scaled = _scaled(arrays.where(enough))
+    if scaled.isEmpty():
+        return short
     points = scaled.select(*KEYS, "last_period", F.size("history").alias("n"), F.posexplode("history").alias("i", "value"))
     series = points.select(
         *KEYS, F.expr("add_months(last_period, cast(i - n + 1 AS int))").alias("period"), "value"
@@ -55,5 +58,4 @@ def gradient_boosting(arrays: DataFrame, horizon: int, seed: int = 42) -> DataFr
             *KEYS, "last_period", "scale", F.concat("history", F.array("prediction")).alias("history")
         )
     future = F.transform(F.slice("history", -horizon, horizon), lambda v: v * F.col("scale"))
-    short = expand_forecast(arrays.where(~enough), "gradient_boosting", naive_values(horizon))
     return expand_forecast(state, "gradient_boosting", future).unionByName(short)

@@ -118,6 +118,14 @@ def seasonal_naive(arrays: DataFrame, horizon: int, season: int = 12) -> DataFra
 BASELINES: dict[str, Model] = {"naive": naive, "seasonal_naive": seasonal_naive}
 
 
+def all_models() -> dict[str, Model]:
+    """Every model, by name: those that compete unless a caller names others."""
+    from tallystone.operators.boosting import gradient_boosting
+    from tallystone.operators.smoothing import exponential_smoothing
+
+    return {**BASELINES, "exponential_smoothing": exponential_smoothing, "gradient_boosting": gradient_boosting}
+
+
 def forecast_all(arrays: DataFrame, horizon: int, models: dict[str, Model]) -> DataFrame:
     frames = [model(arrays, horizon) for model in models.values()]
     result = frames[0]
@@ -180,14 +188,19 @@ def with_intervals(forecasts: DataFrame, deviation: DataFrame) -> DataFrame:
 def build_forecasts(
     series: DataFrame, models: dict[str, Model] | None = None, settings: ForecastSettings | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """(forecasts, evaluation): every model scored on the holdout, the winner refit on the whole series."""
-    settings, models = settings or ForecastSettings(), models or BASELINES
+    """(forecasts, evaluation): every model scored on the holdout, the winner of each series refit on the whole of it."""
+    settings, models = settings or ForecastSettings(), models or all_models()
     arrays = to_arrays(series)
     # The fitted holdout feeds the metrics and the deviations: written once, models are not fitted twice for it.
     compared = materialize(holdout(arrays, models, settings), "holdout")
     evaluation = select_models(error_metrics(compared))
-    winners = evaluation.where("selected").select(*KEYS, "model")
-    future = forecast_all(arrays, settings.horizon, models).join(winners, [*KEYS, "model"], "left_semi")
+    winners = materialize(evaluation.where("selected").select(*KEYS, "model"), "winners")
+
+    def refit(name: str, model: Model) -> Model:
+        won = winners.where(F.col("model") == name)
+        return lambda series, horizon: model(series.join(won, KEYS, "left_semi"), horizon)
+
+    future = forecast_all(arrays, settings.horizon, {name: refit(name, model) for name, model in models.items()})
     dated = with_intervals(future, residual_deviation(compared)).join(
         arrays.select(*KEYS, "last_period"), KEYS
     )

@@ -16,12 +16,17 @@ OPENING_PREFIX = "OPEN_"
 
 
 def join_chart(df: DataFrame, coa: DataFrame) -> DataFrame:
-    """Add the authoritative category, subcategory and normal balance; unknown accounts stay with nulls."""
-    lookup = coa.select(
-        "account_id",
-        F.col("account_category").alias("coa_category"),
-        F.col("account_subcategory").alias("coa_subcategory"),
-        F.col("normal_balance").alias("coa_normal_balance"),
+    """Add the authoritative category, subcategory and normal balance; unknown accounts stay with nulls. A repeated account
+    id is an error, not a silent fan-out."""
+    def single(column: str) -> Column:
+        return F.when(F.count(F.lit(1)) == 1, F.max(column)).otherwise(
+            F.raise_error(F.lit("duplicate account id in the chart of accounts")).cast("string")
+        )
+
+    lookup = coa.where(F.col("account_id").isNotNull()).groupBy("account_id").agg(
+        single("account_category").alias("coa_category"),
+        single("account_subcategory").alias("coa_subcategory"),
+        single("normal_balance").alias("coa_normal_balance"),
     )
     return df.join(lookup, "account_id", "left")
 

@@ -55,6 +55,9 @@ def entity_history(statement: DataFrame, wc: DataFrame, flow: DataFrame, sheet:
     )
 
 
+POINTS = ("revenue", "operating_expense")
+
+
 def calibrate(
     forecasts: DataFrame, history: DataFrame, scenarios: list[str], simulation: SimulationSettings | None = None,
     forecast: ForecastSettings | None = None,
@@ -68,21 +71,25 @@ def calibrate(
     def pick(metric: str, value: Column) -> Column:
         return F.max(F.when(F.col("metric") == metric, value))
 
-    points = forecasts.where(F.col("metric").isin("revenue", "operating_expense")).groupBy(
+    points = forecasts.where(F.col("metric").isin(*POINTS)).groupBy(
         "entity_id", "step", "period"
     ).agg(
         pick("revenue", F.col("forecast")).alias("revenue_point"),
         pick("revenue", sigma).alias("revenue_sigma"),
         pick("operating_expense", F.col("forecast")).alias("opex_point"),
         pick("operating_expense", sigma).alias("opex_sigma"),
+        *[F.count_if((F.col("metric") == m) & F.col("forecast").isNotNull()).alias(f"n_{m}") for m in POINTS],
     )
-    counted = points.withColumn("n_steps", F.count("revenue_point").over(Window.partitionBy("entity_id")))
-    checked = counted.withColumn(
+    entity = Window.partitionBy("entity_id")
+    complete = F.count(F.lit(1)).over(entity) == forecast.horizon
+    for metric in POINTS:
+        complete = complete & (F.min(f"n_{metric}").over(entity) == 1) & (F.max(f"n_{metric}").over(entity) == 1)
+    checked = points.withColumn("complete", complete).withColumn(
         "step",
-        F.when(F.col("n_steps") == forecast.horizon, F.col("step")).otherwise(
-            F.raise_error(F.lit("an entity lacks forecast steps")).cast("int")
+        F.when(F.col("complete"), F.col("step")).otherwise(
+            F.raise_error(F.lit("an entity needs one revenue and one expense forecast per step")).cast("int")
         ),
-    ).drop("n_steps")
+    ).drop("complete", *[f"n_{m}" for m in POINTS])
     floor_std = lambda c: F.greatest(F.col(c), F.lit(MIN_DEVIATION))
     shifted = with_scenarios(checked.join(history, "entity_id"), scenarios)
     return shifted.select(

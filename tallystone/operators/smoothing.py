@@ -13,9 +13,10 @@ from tallystone.operators.forecasting import KEYS, expand_forecast, naive_values
 SEASON = 12
 MIN_SEASONAL = 24
 STATE = "struct<level:double,trend:double,season:array<double>,sse:double>"
-# Candidate smoothing weights of level, trend and season.
-GRID = ((0.1, 0.3, 0.5, 0.7, 0.9), (0.0, 0.1, 0.3), (0.0, 0.1, 0.3, 0.6))
-STEPS = ((-0.1, -0.05, 0.0, 0.05, 0.1), (-0.05, 0.0, 0.05), (-0.1, 0.0, 0.1))
+# Candidate smoothing weights of level, trend and season, and the steps around the best ones. Together they
+# reach from 0 to 1.
+GRID = ((0.1, 0.3, 0.5, 0.7, 0.9), (0.0, 0.1, 0.3, 0.6, 0.9), (0.0, 0.1, 0.3, 0.6, 0.9))
+STEPS = ((-0.1, -0.05, 0.0, 0.05, 0.1), (-0.1, -0.05, 0.0, 0.05, 0.1), (-0.1, 0.0, 0.1))
 
 
 def _mean(array: Column) -> Column:

@@ -30,10 +30,16 @@ def as_raw(df: DataFrame) -> DataFrame:
 
 def read_raw_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """Scan one raw CSV table as strings. The header decides which columns exist, so a file that lacks
-    an expected column still loads and the schema check reports it."""
+    an expected column still loads and the schema check reports it.
+
+    Quotes inside quoted fields are doubled, and quoted fields may hold line breaks. The columns are those of the first file's
+    header; a further file whose header differs in names or order is an error, not a shift of values."""
     raw_columns(dataset)
-    header = spark.read.option("header", True).option("inferSchema", False).csv(path)
-    return with_row_uid(normalise_na(header), dataset)
+    reader = spark.read.options(header=True, quote='"', escape='"', multiLine=True)
+    columns = reader.csv(path).columns  # the header only
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns])
+    scan = reader.schema(schema).option("enforceSchema", False).csv(path)
+    return with_row_uid(normalise_na(scan), dataset)
 
 
 def read_raw_parquet(spark: SparkSession, path: str, dataset: str) -> DataFrame:
@@ -95,13 +101,5 @@ def null_counts(df: DataFrame, dataset: str) -> DataFrame:
     )
 
 
-def spread_scan(df: DataFrame) -> DataFrame:
-    """Give heavy per-row work all cores when a table sits in very few files or row groups.
-
-    A scan that already has a task per core, as any large table has, is left alone: no shuffle is added."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)

@@ -298,3 +298,30 @@ def test_plan_moves_the_same_paths(spark):
     out = {r.state: r for r in cash_plan.before_and_after(sims, plan, LiquiditySettings(minimum_cash=1000.0)).collect()}
     assert out["before"].probability_of_liquidity_breach == 0.5 and out["after"].probability_of_liquidity_breach == 0
     assert out["after"].average_cash == pytest.approx(out["before"].average_cash + 12.5)
+
+
+def test_boosting_of_short_series_only(spark):
+    out = boosting.gradient_boosting(forecasting.to_arrays(series_of(spark, [5, 6, 7])), 3)
+    assert values_of(out) == [7.0] * 3
+
+
+def test_all_models_compete_by_default(spark):
+    _, evaluation = forecasting.build_forecasts(series_of(spark, [100 + i + 10 * (i % 12) for i in range(40)]))
+    assert {r.model for r in evaluation.collect()} == set(forecasting.MODEL_RANK)
+
+
+def test_repeated_account_is_an_error(spark, coa):
+    postings = spark.createDataFrame([("1000",)], "account_id string")
+    with pytest.raises(PySparkException, match="duplicate account id"):
+        ledger.join_chart(postings, coa.unionByName(coa)).collect()
+
+
+@pytest.mark.parametrize("change", ["missing", "repeated"])
+def test_each_step_needs_both_forecasts(spark, change):
+    rows = [("E", m, date(2024, s, 1), s, 100.0, 90.0, 110.0) for m in paths.POINTS for s in range(1, 13)]
+    rows = [r for r in rows if r[1] == "revenue" or r[3] != 5] if change == "missing" else rows + [rows[-1]]
+    forecasts = spark.createDataFrame(rows, "entity_id string, metric string, period date, step int, forecast double, ci_lower double, ci_upper double")
+    history = spark.createDataFrame([("E", *[1.0] * 12)], "entity_id string, " + ", ".join(f"{c} double" for c in (
+        "margin_mean margin_std dso_mean dso_std dpo_mean dpo_std other_cf_mean other_cf_std opening_ar opening_ap opening_cash debt").split()))
+    with pytest.raises(PySparkException, match="one revenue and one expense"):
+        paths.calibrate(forecasts, history, ["base"]).collect()

@@ -46,7 +46,7 @@ def test_payment_date_context(spark, status, rule, severity):
 def test_ledger_payment_reason_names_document(spark):
     df = spark.createDataFrame([("R1", "Cash Receipt", None)], "row_uid string, document_type string, payment_date string")
     out = run(df, TRANSACTIONS, *completeness.ledger_payment_date_rules(S)).first()
-    assert out.reason == "payment_date missing on a Cash Receipt line, which is itself the payment event"
+    assert out.reason == "payment booked as Cash Receipt without a payment date"
 
 
 def test_exact_duplicates_flag_every_copy(spark):
@@ -174,8 +174,8 @@ def test_tie_out_reports_missing_sides(spark):
     )
     out = reconciliation.tie_out_issues(sub, gl, RECEIVABLES, "invoice_amount", "Revenue Invoice", "Accounts Receivable", "debit", "0.01", "HIGH")
     assert sorted(r.reason for r in out.collect()) == [
-        "accounts_receivable total for E/2024-03 is 0.00 but Accounts Receivable postings for that entity-month total 7.00 (diff 7.00)",
-        "accounts_receivable total for F/2024-02 is 10.00 but Accounts Receivable postings for that entity-month total 0.00 (diff 10.00)",
+        "accounts_receivable of E in 2024-03: sub-ledger 0.00, Accounts Receivable postings 7.00, off by 7.00",
+        "accounts_receivable of F in 2024-02: sub-ledger 10.00, Accounts Receivable postings 0.00, off by 10.00",
     ]
 
 
@@ -234,3 +234,47 @@ def test_layers_round_trip(spark, tmp_path):
     assert str(back.invoice_date) == "2024-02-03" and str(back.invoice_amount) == "12.50" and back.due_date is None
     layers.write_table(layers.read_validated(spark, str(tmp_path), RECEIVABLES), str(tmp_path / "csv"), "csv")
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).first().invoice_date == "2024-02-03"
+
+
+HEAD = "entity_id,entity_name,country,functional_currency,annual_revenue_scale_eur\n"
+
+
+def test_csv_quotes_and_line_breaks(spark, tmp_path):
+    (tmp_path / "entities.csv").write_text(HEAD + 'E1,"Two\nlines, ""quoted""",DE,EUR,5\nE2,Back\\slash,FR,EUR,n/a\n')
+    rows = {r.entity_id: r for r in raw.read_raw_csv(spark, str(tmp_path / "entities.csv"), "entities").collect()}
+    assert rows["E1"].entity_name == 'Two\nlines, "quoted"' and rows["E2"].entity_name == "Back\\slash"
+    assert rows["E2"].annual_revenue_scale_eur is None and len(rows) == 2
+
+
+def test_csv_files_with_other_headers_are_an_error(spark, tmp_path):
+    folder = tmp_path / "entities.csv"
+    folder.mkdir()
+    (folder / "a.csv").write_text(HEAD + "E1,One,DE,EUR,5\n")
+    (folder / "b.csv").write_text("country,entity_name,entity_id,functional_currency,annual_revenue_scale_eur\nFR,Two,E2,EUR,6\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        raw.read_raw_csv(spark, str(folder), "entities").collect()
+
+
+def test_quality_engine_end_to_end(spark, tmp_path):
+    """CSV files of all eight tables in, layers, ledger and report out."""
+    from tallystone.plans.quality import run_quality_engine
+
+    for name, columns in EXPECTED_COLUMNS.items():
+        rows = [",".join(f"v{i}" for i, _ in enumerate(columns))]
+        (tmp_path / f"{name}.csv").write_text("\n".join([",".join(columns), *rows]) + "\n")
+    tables = raw.read_all_raw(spark, str(tmp_path))
+    report = run_quality_engine(tables, str(tmp_path / "out"), run_timestamp="2024-01-31T00:00:00+00:00")
+    assert report.count() == 1 and any((tmp_path / "out").iterdir())
+
+
+def test_off_one_machine_a_shared_folder_is_needed(spark, monkeypatch):
+    from types import SimpleNamespace
+
+    from tallystone import session
+
+    remote = SimpleNamespace(
+        sparkContext=SimpleNamespace(master="spark://somewhere:7077", getCheckpointDir=lambda: None),
+        conf=SimpleNamespace(get=lambda *_: None),
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.ensure_checkpoint_dir(remote)
