@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.config import QualitySettings
-from tallystone.operators.issues import issue_rows, union_issues
+from tallystone.operators.issues import RowRule, evaluate_row_rules, issue_rows, union_issues
 from tallystone.schema import PAYABLES, RECEIVABLES, TRANSACTIONS
+from tallystone.session import materialize
+
+DRIFT_REASON = "account_category differs from the chart of accounts"
 
 
 def foreign_key_violations(
@@ -36,22 +39,48 @@ def category_drift(transactions: DataFrame, coa: DataFrame, severity: str) -> Da
     )
     return issue_rows(
         failing, TRANSACTIONS, "inconsistent_classification", severity,
-        "account_category differs from the chart of accounts",
-        "account_category",
+        DRIFT_REASON, "account_category",
     )
 
 
+def _references(
+    df: DataFrame, dataset: str, masters: dict[str, tuple[DataFrame, str]], drift_severity: str
+) -> DataFrame:
+    """All references of a table in one scan. masters: key column -> (written table of known keys, severity). Against the
+    chart of accounts, the category of the record is compared as well."""
+    used = {c: m for c, m in masters.items() if c in df.columns}
+    drift = "account_id" in used and "account_category" in df.columns
+    joined = df.select("row_uid", *used, *(["account_category"] if drift else []))
+    rules = []
+    for column, (known, severity) in used.items():
+        joined = joined.join(known, column, "left")
+        unknown = F.col(column).isNotNull() & F.col(f"known_{column}").isNull()
+        rules.append(RowRule(f"invalid_{column}", severity, f"no master record with this {column}", unknown, column))
+    if drift:
+        differs = F.exists("true_categories", lambda c: c != F.col("account_category"))
+        rules.append(RowRule("inconsistent_classification", drift_severity, DRIFT_REASON, differs, "account_category"))
+    return evaluate_row_rules(joined, dataset, rules)
+
+
+def _known_keys(master: DataFrame, column: str) -> DataFrame:
+    """Written, so that Spark knows the size and broadcasts the keys if they are few; otherwise a skewed key can be split."""
+    keys = master.select(column).dropna().distinct().withColumn(f"known_{column}", F.lit(True))
+    return materialize(keys, f"known_{column}")
+
+
 def consistency_issues(tables: dict[str, DataFrame], settings: QualitySettings) -> DataFrame:
+    """One scan per fact table: all its masters are joined and all its rules evaluated together."""
     s = settings.severities
-    t, ar, ap = tables[TRANSACTIONS], tables[RECEIVABLES], tables[PAYABLES]
-    coa, entities = tables["chart_of_accounts"], tables["entities"]
-    frames = [
-        foreign_key_violations(t, TRANSACTIONS, "account_id", coa, s["invalid_account"]),
-        foreign_key_violations(t, TRANSACTIONS, "entity_id", entities, s["invalid_entity"]),
-        category_drift(t, coa, s["inconsistent_classification"]),
-        foreign_key_violations(ar, RECEIVABLES, "entity_id", entities, s["invalid_entity"]),
-        foreign_key_violations(ar, RECEIVABLES, "customer_id", tables["customers"], s["invalid_account"]),
-        foreign_key_violations(ap, PAYABLES, "entity_id", entities, s["invalid_entity"]),
-        foreign_key_violations(ap, PAYABLES, "vendor_id", tables["vendors"], s["invalid_account"]),
-    ]
-    return union_issues([f for f in frames if f is not None])
+    accounts = tables["chart_of_accounts"].where(F.col("account_id").isNotNull()).groupBy("account_id").agg(
+        F.lit(True).alias("known_account_id"), F.collect_set("account_category").alias("true_categories")
+    )
+    accounts = materialize(accounts, "known_account_id")
+    entities = (_known_keys(tables["entities"], "entity_id"), s["invalid_entity"])
+    frames = []
+    for dataset, masters in (
+        (TRANSACTIONS, {"account_id": (accounts, s["invalid_account"]), "entity_id": entities}),
+        (RECEIVABLES, {"entity_id": entities, "customer_id": (_known_keys(tables["customers"], "customer_id"), s["invalid_account"])}),
+        (PAYABLES, {"entity_id": entities, "vendor_id": (_known_keys(tables["vendors"], "vendor_id"), s["invalid_account"])}),
+    ):
+        frames.append(_references(tables[dataset], dataset, masters, s["inconsistent_classification"]))
+    return union_issues(frames)
