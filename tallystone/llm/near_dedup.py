@@ -245,7 +245,8 @@ def _links(signed: DataFrame, feature_table, threshold: float) -> DataFrame:
         F.xxhash64(F.lit(i), *[F.get("samples", F.lit(ROWS * i + j)) for j in range(ROWS)]) for i in range(BANDS)
     ])
     # Ranks hashed with the bucket: another leader in each band.
-    rows = signed.select("node", F.explode(keys).alias("bucket")).withColumn("rank", F.xxhash64("node", "bucket"))
+    keyed = signed.select("node", keys.alias("keys"))
+    rows = keyed.select("node", F.explode("keys").alias("bucket")).withColumn("rank", F.xxhash64("node", "bucket"))
     buckets = rows.groupBy("bucket").agg(F.min("rank").alias("least"), F.count(F.lit(1)).alias("members")).where("members > 1")
     shared = materialize(rows.join(buckets.drop("members"), "bucket"), "buckets")
     leaders = shared.where("rank = least").select("bucket", F.col("node").alias("b"))
@@ -280,12 +281,15 @@ def _links(signed: DataFrame, feature_table, threshold: float) -> DataFrame:
     largest = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
         F.max(F.struct("n", "label"))["label"].alias("largest"), F.count(F.lit(1)).alias("labels")
     ).where("labels > 1").drop("labels")
+    sketches = sketches.join(keyed, "node")
     placed = materialize(placed.join(largest, "bucket").join(sketches, "node"), "placed")
-    a = placed.where("label != largest").select("bucket", F.col("node").alias("a"), F.col("label").alias("la"), F.col("sketch").alias("sa"))
-    b = placed.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("sketch").alias("sb"), "largest")
+    a = placed.where("label != largest").select("bucket", F.col("node").alias("a"), F.col("label").alias("la"), F.col("sketch").alias("sa"), F.col("keys").alias("ka"))
+    b = placed.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("sketch").alias("sb"), F.col("keys").alias("kb"), "largest")
+    # A pair is looked at in the first of its buckets only.
+    first = F.col("bucket") == F.get("ka", (F.array_position(F.zip_with("ka", "kb", lambda x, y: x == y), True) - 1).cast("int"))
     agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
     open_pairs = a.join(b, "bucket").where(
-        (F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("largest")) | (F.col("a") < F.col("b"))) & (agree >= least)
+        (F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("largest")) | (F.col("a") < F.col("b"))) & first & (agree >= least)
     ).withColumn("agree", agree)
     open_pairs = _ordered(open_pairs, "agree").distinct().join(tested, ["a", "b"], "left_anti")
     open_pairs = materialize(open_pairs, "open")
