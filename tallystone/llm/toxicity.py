@@ -1,19 +1,22 @@
 """Toxicity by the nearest labelled examples.
 
 Learning, from a bounded sample of labelled rows (`examples` of them, those whose keys hash lowest): the terms of a text are
-its lower-cased words and their first four, five and six letters; the vocabulary is the `terms` terms that speak most
-for the label (by chi square, significant at one in a thousand, and four times as frequent in toxic examples). Document frequencies of the vocabulary are counted over all documents. An
-example is the unit vector of (1 + ln tf) idf over the vocabulary.
+its lower-cased words and their first four, five and six letters. All terms count, in examples and in texts: a vector is the unit
+vector of (1 + ln tf) idf times the term's emphasis. Document frequencies are counted over all documents; those of terms of no example,
+which only count in the length of a text, in SLOTS slots by hash. The emphasis is 1, or, for terms that speak for the label (chi square,
+significant at one in a thousand, and four times as frequent in toxic examples), the root of chi square over that quantile: it weighs
+terms and leaves none out.
 
-Search: an inverted index of the examples in blocks of 64, which keeps for each term the largest weight in each block. The sum of query
-weights times block maxima bounds every cosine in a block; blocks are scored in the order of their bounds until a bound falls
-below the k-th best cosine found. So the k neighbours are exact, ties going to the first example.
+Search: exact cosines of all examples that share a term. The postings of all but the COMMON most frequent terms are summed; what the common
+terms can add to an example is bounded by the lengths of both parts and by the sum of query weights times maxima in blocks of 64
+examples. The common terms are scored for the examples whose bound reaches the k-th best cosine. So the k neighbours are exact, ties
+going to the first example.
 
 Scores: neighbours vote with 1 / (distance + 0.05); votes are mapped to probabilities by an isotonic fit of the examples' own
-leave-one-out votes. A text without a vocabulary term has the rate of toxic ones among the examples without a term. The
-evidence is the nearest examples with their labels and cosines.
+leave-one-out votes. A text that shares no term with an example has no neighbour; its score is that of a vote of nothing, averaged with
+the labels of the examples without neighbour. The evidence is the nearest examples with their labels and cosines.
 
-Tasks read the index, which `examples` and `terms` bound.
+Tasks read the terms and the index of the examples, which `examples` bounds, by broadcast.
 
 Defined cases: null and empty texts have no terms; without any labelled row every score is 0; a row without doc_id counts as the empty
 key in the split; labels without value are not read, and of several labels of a key the largest holds; repeated
@@ -23,9 +26,11 @@ rows get equal scores; an empty table gives an empty result; further columns are
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +40,8 @@ from pyspark.sql import functions as F
 from tallystone.llm.common import packed, whole_text
 from tallystone.llm.language_id import held_out
 
-EXAMPLES, TERMS, NEIGHBOURS, BLOCK = 20_000, 4096, 15, 64
+EXAMPLES, NEIGHBOURS, BLOCK, COMMON = 20_000, 15, 64, 256
+SLOTS = 1 << 20  # of the document frequencies of terms that no example has
 SIGNIFICANT, LEAST_ROWS = 10.83, 5  # fixed value: the 0.999 quantile of chi square with one degree of freedom
 LEAST_LIFT = 4  # how much more often a term must occur in toxic examples
 THRESHOLD = 0.7
@@ -51,17 +57,40 @@ def terms_of(word: str) -> list[str]:
     return [word, *(f"{word[:n]}*" for n in PREFIXES if len(word) >= n)]
 
 
-def term_counts(text: str | None, vocabulary: dict[str, int]) -> dict[int, int]:
-    """Vocabulary terms of a text and how often they occur."""
-    out: dict[int, int] = {}
-    for word, n in word_counts(text).items():
-        for term in terms_of(word):
-            at = vocabulary.get(term)
-            if at is not None:
-                out[at] = out.get(at, 0) + n
+def numbers_of(word: str, vocabulary: dict[str, int]) -> list[int]:
+    """Numbers of a word's terms; those of no example come after the vocabulary, by the slot of their hash."""
+    size = len(vocabulary)
+    out = []
+    for term in terms_of(word):
+        at = vocabulary.get(term)
+        out.append(size + zlib.crc32(term.encode("utf-8", "surrogatepass")) % SLOTS if at is None else at)
     return out
 
 
+class TermReader:
+    """Numbers of the terms of texts, with a bounded memory of the words met."""
+
+    def __init__(self, vocabulary: dict[str, int], most: int = 1 << 17) -> None:
+        self.vocabulary, self.most, self.met = vocabulary, most, {}
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """The terms of a text in order and how often they occur."""
+        met, terms, lengths, times = self.met, [], [], []
+        for word, n in word_counts(text).items():
+            own = met.get(word)
+            if own is None:
+                if len(met) >= self.most:
+                    met.clear()
+                own = met[word] = numbers_of(word, self.vocabulary)
+            terms += own
+            lengths.append(len(own))
+            times.append(n)
+        if not terms:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        term, at = np.unique(np.array(terms, np.int64), return_inverse=True)
+        return term, np.bincount(at, weights=np.repeat(times, lengths)).astype(np.int64)
+
+
 def _label_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     totals: tuple[Counter, Counter] = (Counter(), Counter())
     for batch in batches:
@@ -72,13 +101,13 @@ def _label_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), *counts], names=["term", "n0", "n1"])
 
 
-def _frequency(vocabulary: dict[str, int]):
+def _frequency(shared: Any):
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros(len(vocabulary), np.int64)
+        reader = TermReader(shared.value)
+        totals = np.zeros(len(reader.vocabulary) + SLOTS, np.int64)
         for batch in batches:
             for text in batch.column("text"):
-                found = list(term_counts(text.as_py(), vocabulary))
-                totals[found] += 1
+                totals[reader.counts(text.as_py())[0]] += 1
         used = np.flatnonzero(totals)
         yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(totals[used])], names=["term", "n"])
 
@@ -88,49 +117,57 @@ def _frequency(vocabulary: dict[str, int]):
 class BlockMaxIndex:
     """Examples as unit vectors (lists of term numbers and weights), searched exactly by cosine."""
 
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = BLOCK) -> None:
+    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int, block: int = BLOCK, common: int = COMMON) -> None:
         self.size, self.block, self.terms = len(vectors), block, terms
-        lengths = [len(t) for t, _ in vectors]
-        row = np.repeat(np.arange(self.size), lengths)
-        term = np.concatenate([t for t, _ in vectors] or [np.zeros(0, np.int64)]).astype(np.int64)
-        weight = np.concatenate([w for _, w in vectors] or [np.zeros(0)])
+        rows_of = np.zeros(terms, np.int64)
+        for term, _ in vectors:
+            rows_of[term] += 1
+        most = np.argsort(-rows_of, kind="stable")[:common]
+        # The common terms as a dense table, with their largest weights in each block and their part of each example's length.
+        self.common = np.full(terms, -1, np.int32)
+        self.common[most] = np.arange(len(most))
         self.blocks = -(-self.size // block)
-        # Postings in the order of block, then term; a block's part is one slice.
-        order = np.lexsort((row, term, row // block))
-        row, term, weight = row[order], term[order], weight[order]
-        self.local, self.term, self.weight = row % block, term, weight
-        self.begin = np.searchsorted(row // block, np.arange(self.blocks + 1))
-        # The largest weight of each term in each block, by term.
-        pair = (row // block) * terms + term
-        first = np.flatnonzero(np.concatenate([[True], pair[1:] != pair[:-1]])) if len(pair) else np.zeros(0, np.int64)
-        peak = np.maximum.reduceat(weight, first) if len(first) else np.zeros(0)
-        of_term, of_block = pair[first] % terms, pair[first] // terms
-        order = np.lexsort((of_block, of_term))
-        self.peak, self.peak_block = peak[order], of_block[order]
-        self.peak_begin = np.searchsorted(of_term[order], np.arange(terms + 1))
+        self.table = np.zeros((self.size, len(most)), np.float32)
+        # Postings of the other terms, by term, then example.
+        rows_of[most] = 0
+        self.begin = np.concatenate([[0], np.cumsum(rows_of)])
+        self.row, self.weight = np.zeros(self.begin[-1], np.int32), np.zeros(self.begin[-1], np.float32)
+        free = self.begin[:-1].copy()
+        for i, (term, weight) in enumerate(vectors):
+            place = self.common[term]
+            other = place < 0
+            self.table[i, place[~other]] = weight[~other]
+            at = free[term[other]]
+            self.row[at], self.weight[at] = i, weight[other]
+            free[term[other]] += 1
+        self.part = np.sqrt(np.einsum("ij,ij->i", self.table, self.table, dtype=np.float64)) * (1 + 1e-6)
+        self.peak = np.maximum.reduceat(self.table, np.arange(self.blocks) * block) if self.size else self.table
 
     def search(self, term: np.ndarray, weight: np.ndarray, k: int, but: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Numbers and cosines of the k nearest examples with a positive cosine, best first. `but`: an example to leave out."""
-        bound = np.zeros(self.blocks)
-        for t, w in zip(term.tolist(), weight.tolist()):
-            a, b = self.peak_begin[t], self.peak_begin[t + 1]
-            bound[self.peak_block[a:b]] += w * self.peak[a:b]
-        query = np.zeros(self.terms)
-        query[term] = weight
-        found, scores, kth = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or bound[b] < kth - 1e-12:
-                break
-            part = slice(self.begin[b], self.begin[b + 1])
-            own = np.bincount(self.local[part], weights=query[self.term[part]] * self.weight[part], minlength=self.block)
-            at = np.flatnonzero(own > 0)
-            found, scores = np.concatenate([found, at + b * self.block]), np.concatenate([scores, own[at]])
-            if but >= 0:
-                scores, found = scores[found != but], found[found != but]
-            best = np.lexsort((found, -scores))[:k]
-            found, scores = found[best], scores[best]
-            kth = scores[-1] if len(scores) == k else 0.0
-        return found, scores
+        if not self.size:
+            return np.zeros(0, np.int64), np.zeros(0)
+        place = self.common[term]
+        other, query = place < 0, np.zeros(self.table.shape[1])
+        query[place[~other]] = weight[~other]
+        begin = self.begin[term[other]]
+        many = self.begin[term[other] + 1] - begin
+        at = np.repeat(begin - np.cumsum(many) + many, many) + np.arange(many.sum())
+        known = np.bincount(self.row[at], weights=np.repeat(weight[other], many) * self.weight[at], minlength=self.size)
+        more = np.repeat(self.peak @ query, self.block)[: self.size]
+        bound = known + np.minimum(more, self.part * np.sqrt(query @ query))
+        if but >= 0:
+            bound[but] = 0.0
+        near = np.flatnonzero(bound > 0)
+        if len(near) > 4 * k:
+            first = near[np.argpartition(-bound[near], 4 * k)[: 4 * k]]
+            kth = np.partition(known[first] + self.table[first] @ query, -k)[-k]
+            near = near[bound[near] >= kth - 1e-9]
+        # Rounded, so that equal examples tie.
+        scores = np.round(known[near] + self.table[near] @ query, 12)
+        near, scores = near[scores > 0], scores[scores > 0]
+        best = np.lexsort((near, -scores))[:k]
+        return near[best], scores[best]
 
 
 def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -152,30 +189,63 @@ def isotonic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 @dataclass(frozen=True)
 class ToxicityModel:
     vocabulary: dict[str, int]
-    idf: np.ndarray
+    idf: np.ndarray  # of the terms, then of the slots of further terms
+    emphasis: np.ndarray
     index: BlockMaxIndex
     labels: np.ndarray
     keys: list
     calibration: tuple[np.ndarray, np.ndarray]
-    base: float  # the score of a text without vocabulary terms
+    base: float  # the score of a text that shares no term with an example
+    sent: tuple = field(default=(), repr=False, compare=False)  # broadcasts of the vocabulary, and of idf to keys
 
-    def vector(self, counts: dict[int, int]) -> tuple[np.ndarray, np.ndarray]:
-        return _vector(counts, self.idf)
-
-    def score(self, text: str | None) -> tuple[float, list[tuple[int, float]]]:
-        counts = term_counts(text, self.vocabulary)
-        if not counts or not self.index.size:
-            return self.base, []
-        found, cosines = self.index.search(*self.vector(counts), NEIGHBOURS)
+    def score(self, text: str | None, reader: TermReader) -> tuple[float, list[tuple[int, float]]]:
+        term, times = reader.counts(text)
+        found, cosines = self.index.search(*_vector(term, times, self.idf, self.emphasis), NEIGHBOURS)
         if not len(found):
             return self.base, []
         return float(np.interp(_vote(self.labels[found], cosines), *self.calibration)), list(zip(found.tolist(), cosines.tolist()))
 
 
-def _vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    term = np.fromiter(sorted(counts), np.int64, len(counts))
-    weight = (1.0 + np.log([counts[t] for t in term.tolist()])) * idf[term]
-    return term, weight / np.sqrt(weight @ weight)
+def _vector(term: np.ndarray, times: np.ndarray, idf: np.ndarray, emphasis: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The unit vector of all terms, without the places of terms that no example has."""
+    own = int(np.searchsorted(term, len(emphasis)))
+    weight = (1.0 + np.log(times)) * idf[term]
+    weight[:own] *= emphasis[term[:own]]
+    return term[:own], weight[:own] / np.sqrt(weight @ weight)
+
+
+class _Packed:
+    """Arrays that a broadcast sends compressed, and what a worker makes of them, once."""
+
+    def __init__(self, make: Any, *arrays: np.ndarray, rest: tuple = ()) -> None:
+        self.make, self.rest = make, rest
+        # By byte position, which compresses better.
+        self.arrays = [(a.dtype.str, zlib.compress(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes(), 1)) for a in arrays]
+
+    def __reduce__(self) -> tuple:
+        return _unpacked, (self.make, self.arrays, self.rest)
+
+
+def _unpacked(make: Any, arrays: list[tuple[str, bytes]], rest: tuple) -> Any:
+    def array(dtype: str, sent: bytes) -> np.ndarray:
+        planes = np.frombuffer(zlib.decompress(sent), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+        return np.ascontiguousarray(planes.T).view(dtype).reshape(-1)
+
+    return make(*(array(*a) for a in arrays), *rest)
+
+
+def _words(letters: np.ndarray) -> dict[str, int]:
+    return {t: i for i, t in enumerate(letters.tobytes().decode().split("\n"))} if len(letters) else {}
+
+
+def _examined(idf: np.ndarray, emphasis: np.ndarray, steps: np.ndarray, times: np.ndarray, lengths: np.ndarray, labels: np.ndarray, keys: list) -> tuple:
+    """The index from the examples' terms, which are sent as steps from one to the next."""
+    term, at = np.cumsum(steps, dtype=np.int32), np.concatenate([[0], np.cumsum(lengths)]).tolist()
+    vectors = []
+    for a, b in zip(at, at[1:]):
+        own, weight = _vector(term[a:b], times[a:b], idf, emphasis)
+        vectors.append((own, weight.astype(np.float32)))
+    return idf, emphasis, BlockMaxIndex(vectors, max(1, len(emphasis))), labels, keys
 
 
 def _vote(labels: np.ndarray, cosines: np.ndarray) -> float:
@@ -185,7 +255,7 @@ def _vote(labels: np.ndarray, cosines: np.ndarray) -> float:
 
 def learn_toxicity(
     docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-    examples: int = EXAMPLES, terms: int = TERMS,
+    examples: int = EXAMPLES,
 ) -> ToxicityModel:
     """From labelled rows that are not held out."""
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & ~held_out(key))
@@ -201,59 +271,97 @@ def learn_toxicity(
     sizes = {r["label"]: r["n"] for r in total.collect()}
     n0, n1 = sizes.get(0, 0), sizes.get(1, 0)
     counted = sample.select("text", "label").mapInArrow(_label_counts, "term string, n0 long, n1 long")
-    counted = counted.groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    a, b = F.col("n1").cast("double"), F.col("n0").cast("double")
-    miss = (n1 - a) * b - (n0 - b) * a
-    chi = (n0 + n1) * miss * miss / (float(max(1, n0)) * float(max(1, n1)) * (a + b) * F.greatest(F.lit(1.0), n0 + n1 - a - b))
-    telling = (F.col("n0") + F.col("n1") >= LEAST_ROWS) & (a * n0 > LEAST_LIFT * b * n1)
-    best = counted.where(telling).withColumn("chi", chi).where(F.col("chi") >= SIGNIFICANT)
-    vocabulary = {r["term"]: i for i, r in enumerate(best.orderBy(F.desc("chi"), "term").limit(terms).collect())}
+    counted = counted.groupBy("term").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
+    counted = counted.sort_by("term")
+    vocabulary = {t.as_py(): i for i, t in enumerate(counted["term"])}
+    emphasis = _emphasis(*(counted[c].to_numpy().astype(float) for c in ("n1", "n0")), n1, n0)
+    del counted
+    context = docs.sparkSession.sparkContext
+    shared = context.broadcast(_Packed(_words, np.frombuffer("\n".join(vocabulary).encode(), np.uint8)))
 
     texts = docs.select(F.col(text).cast("string").alias("text"))
-    frequency = texts.mapInArrow(_frequency(vocabulary), "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    frequency = texts.mapInArrow(_frequency(shared), "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     documents = docs.count()
-    idf = np.full(len(vocabulary), np.log1p(documents) + 1.0)
-    for r in frequency.collect() if vocabulary else []:
-        idf[r["term"]] = np.log((1.0 + documents) / (1.0 + r["n"])) + 1.0
+    times = np.zeros(len(vocabulary) + SLOTS)
+    times[frequency["term"].to_numpy()] = frequency["n"].to_numpy()
+    idf = np.log((1.0 + documents) / (1.0 + times)) + 1.0
 
     def to_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = TermReader(shared.value)
         for batch in batches:
-            counts = [term_counts(t, vocabulary) for t in batch.column("text").to_pylist()]
+            counts = [reader.counts(t) for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("label"), pa.array([list(c) for c in counts], pa.list_(pa.int32())),
-                 pa.array([list(c.values()) for c in counts], pa.list_(pa.int32()))], names=["doc_id", "label", "terms", "times"],
+                [batch.column("doc_id"), batch.column("label"), pa.array([t for t, _ in counts], pa.list_(pa.int32())),
+                 pa.array([n for _, n in counts], pa.list_(pa.int32()))], names=["doc_id", "label", "terms", "times"],
             )
 
     kind = docs.schema[key].dataType.simpleString()
     vectors = sample.select("doc_id", "label", "text").mapInArrow(to_terms, f"doc_id {kind}, label int, terms array<int>, times array<int>")
-    collected = vectors.collect()  # `examples` rows of vocabulary terms at most
-    full = [r for r in collected if r["terms"]]
-    empty = [r["label"] for r in collected if not r["terms"]]
-    rate = n1 / (n0 + n1) if n0 + n1 else 0.0
-    base = (sum(empty) + rate) / (len(empty) + 1)
-    made = [(_vector(dict(zip(r["terms"], r["times"])), idf), r["label"], r["doc_id"]) for r in full]
+    collected = vectors.toArrow()  # `examples` rows at most
+    made = []
+    for doc_id, y, t, n in zip(*(collected[c] for c in ("doc_id", "label", "terms", "times"))):
+        term, n = np.asarray(t.values), np.asarray(n.values)
+        weight = _vector(term, n, idf, emphasis)[1]
+        made.append((term, n, y.as_py(), doc_id.as_py(), int(term[np.argmax(weight)]) if len(term) else -1))
+    del collected
     # Examples with the same leading term stand together, so that block maxima are of use.
-    made.sort(key=lambda x: (int(x[0][0][np.argmax(x[0][1])]), x[1], str(x[2])))
-    index = BlockMaxIndex([v for v, _, _ in made], max(1, len(vocabulary)))
-    label_array = np.array([y for _, y, _ in made], dtype=np.float64)
-    votes, truth = [], []
-    for i, (vector, y, _) in enumerate(made):
-        found, cosines = index.search(*vector, NEIGHBOURS, but=i)
-        if len(found):
-            votes.append(_vote(label_array[found], cosines))
-            truth.append(float(y))
-    fit = isotonic(np.array(votes), np.array(truth)) if votes else (np.array([0.0]), np.array([base]))
-    return ToxicityModel(vocabulary, idf, index, label_array, [k for _, _, k in made], fit, base)
+    made.sort(key=lambda x: (x[4], x[2], str(x[3])))
+    label_array, keys = np.array([x[2] for x in made], dtype=np.float64), [x[3] for x in made]
+    none = [np.zeros(0, np.int32)]
+    steps = np.diff(np.concatenate([x[0] for x in made] or none), prepend=np.int32(0))
+    times, lengths = np.concatenate([x[1] for x in made] or none), np.array([len(x[0]) for x in made], np.int64)
+    made.clear()
+    examined = context.broadcast(_Packed(_examined, idf, emphasis, steps, times, lengths, label_array, rest=(keys,)))
+    index = _examined(idf, emphasis, steps, times, lengths, label_array, keys)[2]
+    del steps, times
+    votes = sample.select("doc_id", "text").mapInArrow(_own_votes(shared, examined), "nth long, vote double").toArrow()
+    voted = np.full(len(keys), np.nan)
+    voted[votes["nth"].to_numpy()] = votes["vote"].to_numpy()
+    rate = n1 / (n0 + n1) if n0 + n1 else 0.0
+    alone = np.isnan(voted)
+    fit = isotonic(voted[~alone], label_array[~alone]) if (~alone).any() else (np.array([0.0]), np.array([rate]))
+    base = (label_array[alone].sum() + float(np.interp(0.0, *fit))) / (int(alone.sum()) + 1)
+    return ToxicityModel(vocabulary, idf, emphasis, index, label_array, keys, fit, float(base), (shared, examined))
+
+
+def _emphasis(a: np.ndarray, b: np.ndarray, n1: int, n0: int) -> np.ndarray:
+    """By term: 1, or more for terms that speak for the label. a, b: toxic and other examples that have it."""
+    miss = (n1 - a) * b - (n0 - b) * a
+    chi = (n0 + n1) * miss * miss / (float(max(1, n0)) * float(max(1, n1)) * (a + b) * np.maximum(1.0, n0 + n1 - a - b))
+    telling = (a + b >= LEAST_ROWS) & (a * n0 > LEAST_LIFT * b * n1)
+    return np.where(telling, np.sqrt(np.maximum(1.0, chi / SIGNIFICANT)), 1.0)
+
+
+def _own_votes(shared: Any, examined: Any):
+    """The votes of the other examples on each example that has neighbours."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, (idf, emphasis, index, labels, keys) = TermReader(shared.value), examined.value
+        number = {k: i for i, k in enumerate(keys)}
+        for batch in batches:
+            nth, votes = [], []
+            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text")):
+                i = number[key]
+                found, cosines = index.search(*_vector(*reader.counts(text.as_py()), idf, emphasis), NEIGHBOURS, but=i)
+                if len(found):
+                    nth.append(i)
+                    votes.append(_vote(labels[found], cosines))
+            yield pa.RecordBatch.from_arrays([pa.array(nth, pa.int64()), pa.array(votes, pa.float64())], names=["nth", "vote"])
+
+    return run
 
 
 def _scorer(model: ToxicityModel, kind: pa.DataType, evidence: int):
+    (shared, examined), calibration, base = model.sent, model.calibration, model.base
     evidence_type = pa.list_(pa.struct([("doc_id", kind), ("label", pa.int32()), ("cosine", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = ToxicityModel(shared.value, *examined.value, calibration, base)
+        reader = TermReader(model.vocabulary)
         for batch in batches:
             scores, proof = [], []
             for text in batch.column("text"):
-                score, found = model.score(text.as_py())
+                score, found = model.score(text.as_py(), reader)
                 scores.append(min(1.0, max(0.0, score)))
                 proof.append([{"doc_id": model.keys[i], "label": int(model.labels[i]), "cosine": c} for i, c in found[:evidence]])
             yield pa.RecordBatch.from_arrays(

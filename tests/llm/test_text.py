@@ -249,6 +249,36 @@ def test_document_frequencies_cover_all_documents(toxic_corpus):
     assert math.isclose(model.idf[at], math.log((1 + n) / (1 + df)) + 1)
 
 
+def test_all_terms_of_a_text_are_searched(spark, toxic_corpus):
+    docs, labels = toxic_corpus
+    # Not one telling word: the text shares only words of a clean example, which is its nearest.
+    first = docs.where("doc_id = 1").first().text
+    more = spark.createDataFrame([(2000, first + " neverseen", "en", "a", None), (2001, "neverseen", "en", "a", None)], SCHEMA)
+    docs = docs.union(more)
+    model = toxicity.learn_toxicity(docs, labels)
+    got = {r.doc_id: r for r in toxicity.score_toxicity(docs, model).collect()}
+    n, counts = docs.count(), Counter()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    terms = lambda t: Counter(x for w, k in toxicity.word_counts(t).items() for x in toxicity.terms_of(w) for _ in range(k))
+    for r in docs.collect():
+        counts.update(set(terms(r.text)))
+    number = model.vocabulary
+
+    def vector(text):
+        weight = {t: (1 + math.log(k)) * (math.log((1 + n) / (1 + counts[t])) + 1) for t, k in terms(text).items()}
+        weight = {t: w * (model.emphasis[number[t]] if t in number else 1) for t, w in weight.items()}
+        size = math.sqrt(sum(w * w for w in weight.values()))
+        return {t: w / size for t, w in weight.items()}
+
+    examples = [vector(texts[k]) for k in model.keys]
+    for key in (1, 2, 6, 8, 11, 1002, 2000):
+        own = vector(texts[key])
+        want = sorted((sum(w * e.get(t, 0) for t, w in own.items()) for e in examples), reverse=True)[:3]
+        assert got[key].evidence and np.allclose([e.cosine for e in got[key].evidence], want, atol=1e-5)
+    assert got[2000].evidence[0].doc_id == 1 and got[2000].evidence[0].cosine < 1
+    assert got[2001].evidence == [] and got[2001].score == got[1000].score
+
+
 def test_toxicity_edges(no_rows, clashing, toxic_corpus):
     _, labels = toxic_corpus
     model = toxicity.learn_toxicity(no_rows, labels)
