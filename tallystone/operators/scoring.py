@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -191,6 +193,12 @@ def quarantine_detail(ledger: DataFrame, raw: DataFrame) -> DataFrame:
     return ledger.join(one_per_key, F.col("record_id") == F.col("row_uid"), "left").drop("row_uid")
 
 
+def quarantine_detail_of_tables(ledger: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
+    """Ledger rows of all row-level tables, each with its own table's fields; the fields of other tables are null."""
+    parts = [quarantine_detail(ledger.where(F.col("dataset") == n), tables[n]) for n in ROW_LEVEL_DATASETS]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def browse_quarantine(
     detail: DataFrame, severities: list[str] | None = None, entities: list[str] | None = None,
     sources: list[str] | None = None, rules: list[str] | None = None, limit: int = BROWSE_LIMIT,

@@ -278,3 +278,19 @@ def test_off_one_machine_a_shared_folder_is_needed(spark, monkeypatch):
     )
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.ensure_checkpoint_dir(remote)
+
+
+def test_quarantine_detail_covers_all_tables(spark):
+    from tallystone.operators import scoring
+    from tallystone.schema import ROW_LEVEL_DATASETS
+
+    tables = {n: spark.createDataFrame([(f"{n}1", "e1", f"v{n}")], f"row_uid string, entity_id string, own_{n} string") for n in ROW_LEVEL_DATASETS}
+    entries = [(n, f"{n}1", "rule", "HIGH", "why", "now") for n in ROW_LEVEL_DATASETS]
+    ledger = spark.createDataFrame(
+        entries, "dataset string, record_id string, validation_rule string, severity string, reason string, timestamp string"
+    )
+    got = scoring.quarantine_detail_of_tables(ledger, tables).collect()
+    assert sorted(r.dataset for r in got) == sorted(ROW_LEVEL_DATASETS)
+    for r in got:
+        assert r.entity_id == "e1" and [r[f"own_{n}"] for n in ROW_LEVEL_DATASETS] == [f"v{n}" if n == r.dataset else None for n in ROW_LEVEL_DATASETS]
+    assert len(scoring.browse_quarantine(scoring.quarantine_detail_of_tables(ledger, tables), severities=["HIGH"]).collect()) == len(got)
