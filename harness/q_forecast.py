@@ -315,7 +315,7 @@ def cash_calibration(b: Books) -> DataFrame:
     return plain(paths.calibrate(forecasts(b), history, ALL_SCENARIOS, SIMULATION), digits=4)
 
 
-@query("cash_paths", f"SELECT scenario, entity_id, sim_id, step, {month()}, {ratio('operating_cf', 'cash', digits=1)} FROM [paths]")
+@query("cash_paths", f"SELECT scenario, entity_id, sim_id, step, {month()}, {ratio('operating_cf', 'cash', digits=1)} FROM [paths]", models=True)
 def cash_paths(b: Books) -> DataFrame:
     built = paths.cash_paths(calibrated(b), SIMULATION)
     return plain(built.select("scenario", "entity_id", "sim_id", "step", "period", "operating_cf", "cash"), digits=1)

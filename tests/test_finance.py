@@ -325,3 +325,10 @@ def test_each_step_needs_both_forecasts(spark, change):
         "margin_mean margin_std dso_mean dso_std dpo_mean dpo_std other_cf_mean other_cf_std opening_ar opening_ap opening_cash debt").split()))
     with pytest.raises(PySparkException, match="one revenue and one expense"):
         paths.calibrate(forecasts, history, ["base"]).collect()
+
+
+def test_forecast_queries_run_with_all_models():
+    from harness.catalog import QUERIES
+
+    for name in ("forecasts", "cash_paths", "consolidated_paths", "cash_fan", "liquidity_metrics", "plan_search"):
+        assert f"{name}_all_models" in QUERIES
