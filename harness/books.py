@@ -16,8 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystone.operators import journal
-from tallystone.session import materialize
+from tallystone.plans.quality import buckets
+from tallystone.session import materialize, step_path
 from tallystone.schema import EXPECTED_COLUMNS
+from tallystone.sources.layers import store_by_document
 from tallystone.sources.raw import as_raw, with_row_uid
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
@@ -410,9 +412,11 @@ _NA_LIST = ", ".join(
 def _duck_raw(dataset: str, source: str) -> str:
     columns = EXPECTED_COLUMNS[dataset]
     cleaned = ", ".join(f"CASE WHEN {c} NOT IN ({_NA_LIST}) THEN {c} END AS {c}" for c in columns)
-    digest = ", ".join(f"coalesce({c}, '<NA>')" for c in columns)
+    joined = ", ".join(f"coalesce({c}, '<NA>')" for c in columns)
+    digest = f"md5(concat_ws(chr(31), {joined}))"
+    tag = f"left(md5(coalesce(document_id, {digest})), 24) || " if "document_id" in columns else ""
     return (
-        f"SELECT '{dataset.upper()}_' || md5(concat_ws(chr(31), {digest})) AS row_uid, * "
+        f"SELECT '{dataset.upper()}_' || {tag}{digest} AS row_uid, * "
         f"FROM (SELECT {cleaned} FROM [{source}])"
     )
 
@@ -489,9 +493,14 @@ class Books:
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._frames:
             df = self._build(name)
-            self._frames[name] = materialize(df, name) if name in STORED else df
+            self._frames[name] = self._stored(name, df) if name in STORED else df
         return self._frames[name]
 
+    def _stored(self, name: str, df: DataFrame) -> DataFrame:
+        if name != "raw_transactions":
+            return materialize(df, name)
+        return store_by_document(df, step_path(self.spark, name), buckets(self.spark))
+
     def _build(self, name: str) -> DataFrame:
         if name in BASE_TABLES:
             return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")

@@ -15,6 +15,7 @@ from tallystone.operators import completeness, consistency, issues, ledger, reco
 from tallystone.operators import uniqueness, validity
 from tallystone.plans import quality
 from tallystone.schema import PAYABLES, RECEIVABLES, ROW_LEVEL_DATASETS, TRANSACTIONS
+from tallystone.session import step_path
 from tallystone.sources import layers
 from tallystone.sources.raw import as_raw, null_counts, number_copies, union_all
 
@@ -352,6 +353,11 @@ def issues_row_local(b: Books) -> DataFrame:
     return quality.row_local_issues(b.raw_tables())
 
 
+@query("rule_counts", "SELECT dataset, validation_rule, severity, field, count(*) AS n_issues FROM [row_local_issues] GROUP BY ALL")
+def rule_counts(b: Books) -> DataFrame:
+    return quality.row_local_counts(b.raw_tables())
+
+
 @query(
     "missing_fields",
     "SELECT dataset, validation_rule, severity, count(*) AS n FROM ("
@@ -557,13 +563,25 @@ def document_cascade(b: Books) -> DataFrame:
     ),
 )
 def validated_split(b: Books) -> DataFrame:
-    found = final_issues(b)
-    parts = []
-    for d in ROW_LEVEL_DATASETS:
-        keyed = b[RAW[d]].select(F.lit(d).alias("dataset"), "row_uid")
-        parts.append(scoring.validated_rows(keyed, found).withColumn("layer", F.lit("validated")))
-        parts.append(scoring.quarantined_rows(keyed, found).withColumn("layer", F.lit("quarantined")))
-    return union_all(parts)
+    return scoring.split_layers(b.raw_tables(), final_issues(b))
+
+
+@query("layers_written", "SELECT * FROM [layer_counts]")
+def layers_written(b: Books) -> DataFrame:
+    """The layers written in one pass per table and read back; an error unless the rows are as many as the pass observed."""
+    root = step_path(b.spark, "layers")
+    counts = layers.write_layers(b.raw_tables(), scoring.flagged_by_dataset(final_issues(b)), root)
+    back = union_all([
+        b.spark.read.parquet(f"{root}/{d}").select(F.lit(d).alias("dataset"), "layer") for d in ROW_LEVEL_DATASETS
+    ])
+    read = back.groupBy("dataset").agg(
+        F.count(F.lit(1)).alias("n_raw"), F.count_if(F.col("layer") == "validated").alias("n_validated"),
+        F.count_if(F.col("layer") == "quarantined").alias("n_quarantined"),
+    )
+    observed = [f"{d} {c['n_raw']} {c['n_validated']} {c['n_quarantined']}" for d, c in counts.items()]
+    same = F.concat_ws(" ", "dataset", "n_raw", "n_validated", "n_quarantined").isin(*observed)
+    wrong = F.raise_error(F.lit("the rows read back are not those observed")).cast("long")
+    return read.withColumn("n_raw", F.when(same, F.col("n_raw")).otherwise(wrong))
 
 
 V["quarantine_ledger"] = f"""
@@ -684,7 +702,8 @@ _BROWSE_ALL = ", ".join(scoring.BROWSE_COLUMNS)
         ORDER BY {", ".join(c + " NULLS FIRST" for c in scoring.BROWSE_COLUMNS)} LIMIT 500""",
 )
 def quarantine_browse_all(b: Books) -> DataFrame:
-    return scoring.browse_quarantine(detail_all(b), severities=["HIGH"], entities=["ASIA", "EUROPE"])
+    ledger = scoring.quarantine_ledger(final_issues(b), RUN_AT)
+    return scoring.browse_ledger(ledger, b.raw_tables(), severities=["HIGH"], entities=["ASIA", "EUROPE"])
 
 
 @query("top_rules", "SELECT validation_rule, count(*) AS n_issues FROM [final_issues] GROUP BY 1 ORDER BY 2 DESC, 1")

@@ -1,11 +1,12 @@
 """From a predicate to issue rows.
 
-Row-local rules of a table are evaluated together: one scan, one projection, one explode. Group rules produce
+Row-local rules of a table are evaluated together: one scan, one projection, one bit mask. Group rules produce
 the keys that fail and meet the table again through a semi join, so no rule collects a group."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -27,25 +28,50 @@ class RowRule:
     predicate: Column
     field: str | None = None
 
-    def as_struct(self) -> Column:
-        reason = self.reason if isinstance(self.reason, Column) else F.lit(self.reason)
-        return F.struct(
-            F.lit(self.name).alias("validation_rule"),
-            F.lit(self.severity).alias("severity"),
-            reason.cast("string").alias("reason"),
-            F.lit(self.field).cast("string").alias("field"),
-        )
-
 
 def evaluate_row_rules(df: DataFrame, dataset: str, rules: list[RowRule]) -> DataFrame:
     """One issue row per (record, rule) whose predicate is true; a null predicate counts as false.
 
-    The rules fill an array in a plain projection, which is compiled and shares repeated parsing between rules;
-    the explode then only walks that array."""
-    hits = F.array(*[F.when(is_true(r.predicate), r.as_struct()) for r in rules])
-    exploded = df.select("row_uid", hits.alias("hits")).select("row_uid", F.explode("hits").alias("issue"))
-    found = exploded.where(F.col("issue").isNotNull())
-    return found.select("row_uid", F.lit(dataset).alias("dataset"), "issue.*")
+    A plain projection, which is compiled and shares repeated parsing between rules, sets one bit per rule that the record
+    fails. Records without a bit yield nothing; of the others, the numbers of their bits are exploded and named."""
+    own_reasons = {i: r.reason for i, r in enumerate(rules) if isinstance(r.reason, Column)}
+    marks = df.select("row_uid", rule_mask(rules).alias("mask"), *[c.cast("string").alias(f"reason{i}") for i, c in own_reasons.items()])
+    numbers = F.filter(F.sequence(F.lit(0), F.lit(len(rules) - 1)), lambda i: F.getbit("mask", i) == 1)
+    none = F.array().cast("array<int>")
+    found = marks.select("*", F.explode(F.when(F.col("mask") == 0, none).otherwise(numbers)).alias("rule"))
+
+    def named(values: list[str | None]) -> Column:
+        return F.get(F.array(*[F.lit(v).cast("string") for v in values]), "rule")
+
+    reason = named([None if i in own_reasons else r.reason for i, r in enumerate(rules)])
+    for i in own_reasons:
+        reason = F.when(F.col("rule") == i, F.col(f"reason{i}")).otherwise(reason)
+    return found.select(
+        "row_uid", F.lit(dataset).alias("dataset"), named([r.name for r in rules]).alias("validation_rule"),
+        named([r.severity for r in rules]).alias("severity"), reason.alias("reason"), named([r.field for r in rules]).alias("field"),
+    )
+
+
+def rule_mask(rules: list[RowRule]) -> Column:
+    """One number per record, in which bit i is set if rule i fails it."""
+    if not 0 < len(rules) < 64:
+        raise ValueError("1 to 63 rules of a table")
+    bits = [F.when(is_true(r.predicate), F.lit(1 << i).cast("long")).otherwise(F.lit(0).cast("long")) for i, r in enumerate(rules)]
+    return reduce(lambda a, b: a + b, bits)
+
+
+def rule_counts(df: DataFrame, dataset: str, rules: list[RowRule]) -> DataFrame:
+    """Issues per rule from the bits alone, in one aggregate: dataset, validation_rule, severity, field, n_issues."""
+    marks = df.select(rule_mask(rules).alias("mask"))
+    sums = marks.agg(*[F.coalesce(F.sum(F.getbit("mask", F.lit(i)).cast("long")), F.lit(0)).alias(f"n{i}") for i in range(len(rules))])
+    rows = [
+        F.struct(
+            F.lit(r.name).alias("validation_rule"), F.lit(r.severity).alias("severity"), F.lit(r.field).cast("string").alias("field"),
+            F.col(f"n{i}").alias("n_issues"),
+        )
+        for i, r in enumerate(rules)
+    ]
+    return sums.select(F.lit(dataset).alias("dataset"), F.inline(F.array(*rows))).where("n_issues > 0")
 
 
 def issue_rows(

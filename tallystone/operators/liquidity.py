@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.config import LiquiditySettings
+from tallystone.functions.ranks import grouped_ranks, interpolated
 
 
 def risk_score(probability: Column, settings: LiquiditySettings | None = None) -> Column:
@@ -42,9 +43,11 @@ def liquidity_metrics(paths: DataFrame, settings: LiquiditySettings | None = Non
 
 
 def breach_by_month(paths: DataFrame, settings: LiquiditySettings | None = None) -> DataFrame:
+    """Share of paths below the requirement, median and fifth percentile per month."""
     s = settings or LiquiditySettings()
-    return paths.groupBy("scenario", "step", "period").agg(
-        F.avg((F.col("cash") < s.minimum_cash).cast("double")).alias("probability_of_breach"),
-        F.percentile("cash", F.lit(0.5)).alias("median_cash"),
-        F.percentile("cash", F.lit(0.05)).alias("p5_cash"),
+    keys, shares = ["scenario", "step", "period"], {"median_cash": 0.5, "p5_cash": 0.05}
+    breached = paths.groupBy(*keys).agg(F.avg((F.col("cash") < s.minimum_cash).cast("double")).alias("probability_of_breach"))
+    ranks = grouped_ranks(paths, keys, "cash", list(shares.values()))
+    return breached.join(ranks, keys).select(
+        *keys, "probability_of_breach", *[interpolated(p, i).alias(name) for i, (name, p) in enumerate(shares.items())]
     )

@@ -11,7 +11,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystone.config import SCENARIOS, ForecastSettings, SimulationSettings
+from tallystone.functions.ranks import grouped_ranks, interpolated
 from tallystone.operators.working_capital import days_in_month
+from tallystone.session import materialize
 
 PERCENTILES = (5, 10, 25, 50, 75, 90, 95)
 CONSOLIDATED = "CONSOLIDATED"
@@ -182,18 +184,14 @@ def consolidate(paths: DataFrame) -> DataFrame:
 
 
 def cash_fan(paths: DataFrame) -> DataFrame:
-    """Mean, median and percentiles per month, consolidated and per entity. A group holds one value per
-    simulation, so its size is the number of simulations."""
-    everything = consolidate(paths).withColumn("entity_id", F.lit(CONSOLIDATED)).unionByName(
-        paths.select("scenario", "entity_id", "sim_id", "step", "period", "cash")
-    )
-    shares = F.array(*[F.lit(p / 100) for p in PERCENTILES])
-    return (
-        everything.groupBy("scenario", "entity_id", "step", "period")
-        .agg(F.avg("cash").alias("mean"), F.percentile("cash", shares).alias("p"))
-        .select(
-            "scenario", "entity_id", "step", "period", "mean",
-            F.col("p")[PERCENTILES.index(50)].alias("median"),
-            *[F.col("p")[i].alias(f"p{p}") for i, p in enumerate(PERCENTILES)],
-        )
+    """Mean, median and percentiles per month, consolidated and per entity. All percentiles of all groups come from two passes
+    over the paths; no task holds a group. paths is a written table."""
+    keys = ["scenario", "entity_id", "step", "period"]
+    total = materialize(consolidate(paths).withColumn("entity_id", F.lit(CONSOLIDATED)), "consolidated")
+    everything = total.unionByName(paths.select(*keys, "sim_id", "cash")).select(*keys, "cash")
+    means = everything.groupBy(*keys).agg(F.avg("cash").alias("mean"))
+    ranks = grouped_ranks(everything, keys, "cash", [p / 100 for p in PERCENTILES])
+    by_share = {f"p{p}": interpolated(p / 100, i) for i, p in enumerate(PERCENTILES)}
+    return means.join(ranks, keys).select(
+        *keys, "mean", by_share["p50"].alias("median"), *[c.alias(name) for name, c in by_share.items()]
     )

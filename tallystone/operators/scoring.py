@@ -11,7 +11,9 @@ from tallystone.config import (
     DIMENSION_WEIGHTS, QUARANTINE_SEVERITIES, SEVERITY_WEIGHTS, UNKNOWN_SEVERITY_WEIGHT,
 )
 from tallystone.schema import ROW_LEVEL_DATASETS, TRANSACTIONS
-from tallystone.sources.raw import union_all
+from tallystone.session import materialize
+from tallystone.sources.layers import DOCUMENT_TAG, layered
+from tallystone.sources.raw import document_tag, union_all
 
 CASCADE_REASON = (
     "a leg of the same document is quarantined; the document leaves as a whole, so that what stays still balances"
@@ -35,8 +37,11 @@ def quarantined_uids(issues: DataFrame) -> DataFrame:
 def cascade_issues(transactions: DataFrame, issues: DataFrame) -> DataFrame:
     """One synthetic CRITICAL issue for every leg that shares a document with a quarantined leg.
 
-    A single pass: the new issues do not cascade further. Copies of one record yield one issue."""
+    A single pass: the new issues do not cascade further. Copies of one record yield one issue. Of a ledger stored by
+    document only the flagged keys move: they name their documents' tags, and both joins go bucket by bucket."""
     flagged = quarantined_uids(issues.where(F.col("dataset") == TRANSACTIONS))
+    if DOCUMENT_TAG in transactions.columns:
+        return _cascade_rows(_siblings_by_tag(transactions, flagged))
     legs = transactions.select("row_uid", "document_id").where(F.col("document_id").isNotNull())
     documents = legs.join(flagged, "row_uid", "left_semi").select("document_id").distinct()
     siblings = (
@@ -45,6 +50,17 @@ def cascade_issues(transactions: DataFrame, issues: DataFrame) -> DataFrame:
         .distinct()
         .join(flagged, "row_uid", "left_anti")
     )
+    return _cascade_rows(siblings)
+
+
+def _siblings_by_tag(transactions: DataFrame, flagged: DataFrame) -> DataFrame:
+    tagged = flagged.select(document_tag(F.col("row_uid")).alias(DOCUMENT_TAG), "row_uid")
+    legs = transactions.where(F.col("document_id").isNotNull()).select(DOCUMENT_TAG, "row_uid")
+    near = legs.join(tagged.select(DOCUMENT_TAG).distinct(), DOCUMENT_TAG, "left_semi")
+    return near.dropDuplicates([DOCUMENT_TAG, "row_uid"]).join(tagged, [DOCUMENT_TAG, "row_uid"], "left_anti").select("row_uid")
+
+
+def _cascade_rows(siblings: DataFrame) -> DataFrame:
     return siblings.select(
         "row_uid",
         F.lit(TRANSACTIONS).alias("dataset"),
@@ -69,6 +85,21 @@ def quarantined_rows(df: DataFrame, issues: DataFrame) -> DataFrame:
     return df.join(quarantined_uids(issues), "row_uid", "left_semi")
 
 
+def flagged_by_dataset(issues: DataFrame) -> dict[str, DataFrame]:
+    """The quarantined lineage keys of each row-level table."""
+    return {n: quarantined_uids(issues.where(F.col("dataset") == n)) for n in ROW_LEVEL_DATASETS}
+
+
+def split_layers(tables: dict[str, DataFrame], issues: DataFrame) -> DataFrame:
+    """dataset, row_uid and layer of every record: one join per table, of two narrow columns."""
+    flagged = flagged_by_dataset(issues)
+    parts = []
+    for n in ROW_LEVEL_DATASETS:
+        keys = [c for c in ("row_uid", DOCUMENT_TAG) if c in tables[n].columns]
+        parts.append(layered(tables[n].select(*keys), flagged[n]).select(F.lit(n).alias("dataset"), "row_uid", "layer"))
+    return union_all(parts)
+
+
 def quarantine_ledger(issues: DataFrame, run_timestamp: str) -> DataFrame:
     """One row per quarantined record and quarantining reason, stamped with the given run time."""
     kept = issues.where(F.col("row_uid").isNotNull() & F.col("severity").isin(*QUARANTINE_SEVERITIES))
@@ -152,8 +183,11 @@ def top_rules(issues: DataFrame) -> DataFrame:
     return counts.orderBy(F.desc("n_issues"), "validation_rule")
 
 
-def quality_report(issues: DataFrame, tables: dict[str, DataFrame], generated_at: str) -> DataFrame:
-    """The run's report as one row of nested maps, ready for a JSON sink."""
+def quality_report(
+    issues: DataFrame, tables: dict[str, DataFrame], generated_at: str, counts: dict[str, dict[str, int]] | None = None,
+) -> DataFrame:
+    """The run's report as one row of nested maps, ready for a JSON sink. counts: rows per layer, where the pass that wrote the
+    layers has observed them already."""
     by = issue_counts(issues)
 
     def as_map(kind: str) -> Column:
@@ -163,9 +197,11 @@ def quality_report(issues: DataFrame, tables: dict[str, DataFrame], generated_at
             .scalar()
         )
 
-    layers = layer_counts(tables, issues)
+    layers = None if counts else layer_counts(tables, issues)
 
     def layer_map(column: str) -> Column:
+        if counts:
+            return F.create_map(*[F.lit(x) for n in sorted(counts) for x in (n, counts[n][column])])
         entries = F.array_sort(F.collect_list(F.struct("dataset", column)))
         return layers.agg(F.map_from_entries(entries)).scalar()
 
@@ -188,6 +224,7 @@ def quarantine_detail(ledger: DataFrame, raw: DataFrame) -> DataFrame:
     """Ledger rows of one table with the raw record's own fields beside them.
 
     Only the raw records that the ledger names are shuffled, and copies, which share their key, reduced to one."""
+    raw = raw.drop(DOCUMENT_TAG)
     named = ledger.select(F.col("record_id").alias("row_uid")).distinct()
     one_per_key = raw.join(named, "row_uid", "left_semi").dropDuplicates(["row_uid"])
     return ledger.join(one_per_key, F.col("record_id") == F.col("row_uid"), "left").drop("row_uid")
@@ -212,3 +249,33 @@ def browse_quarantine(
             detail = detail.where(F.col(column).isin(*wanted))
     shown = detail.select(*[c for c in BROWSE_COLUMNS if c in detail.columns])
     return shown.orderBy(*shown.columns).limit(limit)
+
+
+def browse_ledger(
+    ledger: DataFrame, tables: dict[str, DataFrame], severities: list[str] | None = None, entities: list[str] | None = None,
+    sources: list[str] | None = None, rules: list[str] | None = None, limit: int = BROWSE_LIMIT,
+) -> DataFrame:
+    """The quarantine browser over the ledger of all row-level tables: the first rows that `browse_quarantine` would show of their
+    detail, without making the detail.
+
+    The ledger's own filters come first, its keys meet two columns of the records for the other filters, and the first `limit` rows
+    are found on the ledger's columns: the shown columns of a record follow from its key. Only these rows fetch the rest."""
+    for column, wanted in (("severity", severities), ("validation_rule", rules)):
+        if wanted:
+            ledger = ledger.where(F.col(column).isin(*wanted))
+    matched = []
+    for n in ROW_LEVEL_DATASETS:
+        own = ledger.where(F.col("dataset") == n)
+        filters = {c: w for c, w in (("entity_id", entities), ("source_system", sources)) if w}
+        if filters:
+            # A table without the column of a filter has no record that passes it.
+            tests = [F.col(c).isin(*w) if c in tables[n].columns else F.lit(False) for c, w in filters.items()]
+            keys = tables[n].where(reduce(lambda a, b: a & b, tests)).select(F.col("row_uid").alias("record_id")).distinct()
+            own = own.join(keys, "record_id", "left_semi")
+        matched.append(own)
+    order = ("record_id", "validation_rule", "severity", "reason", "timestamp")
+    first = materialize(union_all(matched).orderBy(*order).limit(limit), "browsed")
+    shown = {n: tables[n].select("row_uid", *[c for c in BROWSE_COLUMNS if c in tables[n].columns]) for n in ROW_LEVEL_DATASETS}
+    detail = quarantine_detail_of_tables(first, shown)
+    detail = detail.select(*[c for c in BROWSE_COLUMNS if c in detail.columns])
+    return detail.orderBy(*detail.columns)

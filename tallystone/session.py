@@ -16,6 +16,8 @@ RECOMMENDED = {
     # Split a hot key even where that costs one more exchange further down.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # A ledger stored by document also meets joins by document and record bucket by bucket.
+    "spark.sql.requireAllClusterKeysForCoPartition": "false",
 }
 
 
@@ -47,6 +49,11 @@ def _steps_folder(spark: SparkSession) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{spark.sparkContext.applicationId}"
 
 
+def step_path(spark: SparkSession, name: str) -> str:
+    """A new folder for an intermediate table, on storage that all executors share."""
+    return f"{_steps_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     """Write an intermediate table to the shared folder and go on from the written copy.
 
@@ -54,7 +61,7 @@ def materialize(df: DataFrame, name: str = "step") -> DataFrame:
     them runs once, a lost executor does not bring it back, and readers scan only the columns they need. The shuffle files
     behind the table are dropped once it is written. `clear_steps` deletes the tables of an application."""
     spark = df.sparkSession
-    path = f"{_steps_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = step_path(spark, name)
     before = spark.conf.get(SHUFFLE_CLEANUP, None)
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:

@@ -15,6 +15,8 @@ UNIT_SEPARATOR = "\x1f"
 # Raw columns never hold this token: the scan turns it into null.
 NULL_MARK = "<NA>"
 COPIES_PER_CHUNK = 65_536
+# Hexadecimal digits: 96 bits of a document's digest, all of a record's.
+TAG_LENGTH, DIGEST_LENGTH = 24, 32
 
 
 def normalise_na(df: DataFrame) -> DataFrame:
@@ -64,10 +66,19 @@ def with_row_uid(df: DataFrame, dataset: str) -> DataFrame:
 
     It needs no shuffle and no file order, and survives a re-read. Byte-identical copies share a key; every
     rule gives them the same verdict, so splits and joins on the key stay right. `number_copies` makes the
-    key unique per physical record where that is wanted."""
+    key unique per physical record where that is wanted. In a table with documents the digest follows the document's tag, so
+    an issue names the document of its record without a look at the table."""
     columns = [c for c in df.columns if c != "row_uid"]
-    uid = F.concat(F.lit(dataset.upper() + "_"), content_hash(columns))
-    return df.select(uid.alias("row_uid"), *columns)
+    parts = [F.lit(dataset.upper() + "_"), content_hash(columns)]
+    if "document_id" in columns:
+        parts.insert(1, F.substring(F.md5(F.coalesce(F.col("document_id"), content_hash(columns))), 1, TAG_LENGTH))
+    return df.select(F.concat(*parts).alias("row_uid"), *columns)
+
+
+def document_tag(uid: Column) -> Column:
+    """The tag of a record's document, from its lineage key. Records without document have one of their own, which only
+    their copies share."""
+    return F.substring(uid, -(TAG_LENGTH + DIGEST_LENGTH), TAG_LENGTH)
 
 
 def number_copies(df: DataFrame) -> DataFrame:
@@ -91,7 +102,7 @@ def number_copies(df: DataFrame) -> DataFrame:
 
 def null_counts(df: DataFrame, dataset: str) -> DataFrame:
     """Rows and missing values per column of a raw table, in one pass."""
-    columns = [c for c in df.columns if c != "row_uid"]
+    columns = [c for c in df.columns if c not in ("row_uid", "document_tag")]
     totals = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[F.count_if(F.col(c).isNull()).alias(c) for c in columns],

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallystone.config import QualitySettings
-from tallystone.functions.order_stats import grouped_median
+from tallystone.functions import ranks
 from tallystone.functions.parsing import to_date
 from tallystone.operators import completeness, consistency, reconciliation, scoring, uniqueness, validity
 from tallystone.operators.issues import evaluate_row_rules, rule_dimension
@@ -135,8 +135,7 @@ def test_grouped_median_matches_percentile(spark):
     rng = random.Random(7)
     rows = [(g, round(rng.gauss(0, 10 ** rng.randint(0, 6)), 2)) for g in "abc" for _ in range(501 if g == "a" else 200)]
     df = spark.createDataFrame(rows, "g string, v double").withColumn("v", F.col("v").cast("decimal(18,2)"))
-    counts = df.groupBy("g", "v").agg(F.count(F.lit(1)).alias("n"))
-    got = {r.g: float(r["median"]) for r in grouped_median(counts, ["g"], "v", "n").collect()}
+    got = {r.g: float(r["median"]) for r in ranks.grouped_median(df, ["g"], "v").collect()}
     want = {r.g: r.m for r in df.groupBy("g").agg(F.percentile("v", F.lit(0.5)).alias("m")).collect()}
     assert got == pytest.approx(want)
 
@@ -294,3 +293,129 @@ def test_quarantine_detail_covers_all_tables(spark):
     for r in got:
         assert r.entity_id == "e1" and [r[f"own_{n}"] for n in ROW_LEVEL_DATASETS] == [f"v{n}" if n == r.dataset else None for n in ROW_LEVEL_DATASETS]
     assert len(scoring.browse_quarantine(scoring.quarantine_detail_of_tables(ledger, tables), severities=["HIGH"]).collect()) == len(got)
+
+
+SHARES = [0.0, 0.05, 0.1, 0.25, 0.5, 0.9, 1.0]
+
+
+@pytest.mark.parametrize("margin", [None, 0.0])
+def test_ranks_match_percentiles(spark, monkeypatch, margin):
+    """Groups of one value, of few values, with many ties, spread over many powers of ten, of many rows, of null keys. Brackets without
+    margin miss ranks, which are then searched in wider ones."""
+    if margin is not None:
+        monkeypatch.setattr(ranks, "MARGIN", margin)
+        monkeypatch.setattr(ranks, "SKETCH_SIZE", 8)
+    rng = random.Random(9)
+    groups = {
+        "one": [3.0], "two": [1.0, -1.0], "ties": [5.0] * 400 + [rng.random() for _ in range(100)], "same": [7.0] * 300,
+        "wide": [rng.choice([-1, 1]) * 10 ** rng.uniform(-6, 9) for _ in range(3000)], "many": [rng.gauss(0, 1) for _ in range(20_000)], None: [1.0, 2.0, 4.0],
+    }
+    rows = [(g, 1, v) for g, values in groups.items() for v in values] + [("one", 1, None), ("empty", 1, None)]
+    df = spark.createDataFrame(rows, "g string, h int, v double").repartition(5)
+    got = ranks.grouped_ranks(df, ["g", "h"], "v", SHARES).select("g", "n", *[ranks.interpolated(s, i).alias(f"p{i}") for i, s in enumerate(SHARES)])
+    want = df.where("v IS NOT NULL").groupBy("g").agg(F.count("v").alias("n"), F.percentile("v", F.array(*map(F.lit, SHARES))).alias("p"))
+    expected = {r.g: (r.n, r.p) for r in want.collect()}
+    found = {r.g: (r.n, [r[f"p{i}"] for i in range(len(SHARES))]) for r in got.collect()}
+    assert found.keys() == expected.keys() == groups.keys()
+    for g, (n, p) in expected.items():
+        assert found[g][0] == n and found[g][1] == pytest.approx(p, rel=1e-12, abs=1e-12)
+
+
+def test_ranks_do_not_shuffle_values(spark):
+    df = spark.range(50_000).select((F.col("id") % 3).alias("g"), F.sin("id").alias("v"))
+    brackets = ranks._brackets(df, ["g"], "v", [0.5], ranks.MARGIN)
+    counts = ranks._counted(df, brackets, ["g"], "v")
+    assert counts.count() < 3000
+
+
+def _ledger(spark, rows):
+    return raw.with_row_uid(spark.createDataFrame(rows, "document_id string, debit string, credit string, note string"), TRANSACTIONS)
+
+
+def _exchanges_of(df, spark):
+    """The exchanges of a plan, without adaptive execution, with what they deal out."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.requireAllClusterKeysForCoPartition", "false")
+    try:
+        text = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for c in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold", "spark.sql.requireAllClusterKeysForCoPartition"):
+            spark.conf.unset(c)
+    return text
+
+
+def _under_exchange(plan, relation):
+    """Whether a scan of the relation stands below an exchange."""
+    depth_of_exchange = None
+    for line in plan.splitlines():
+        depth = len(line) - len(line.lstrip(" :|+-*()0123456789"))
+        if depth_of_exchange is not None and depth <= depth_of_exchange:
+            depth_of_exchange = None
+        if "Exchange " in line and depth_of_exchange is None:
+            depth_of_exchange = depth
+        if relation in line and "FileScan" in line and depth_of_exchange is not None:
+            return True
+    return False
+
+
+def test_ledger_stored_by_document(spark, tmp_path):
+    rng = random.Random(1)
+    rows = [(rng.choice([None, *[f"D{i}" for i in range(40)]]), str(rng.randint(0, 3)), str(rng.randint(0, 3)), str(i % 90)) for i in range(300)]
+    plain = _ledger(spark, [*rows, rows[5], rows[5]])
+    stored = layers.store_by_document(plain, str(tmp_path / "ledger"), 8)
+    name = stored._jdf.queryExecution().analyzed().toString().split("spark_catalog.default.")[1].split("[")[0].split(",")[0].strip()
+    assert sorted(stored.select(*plain.columns).collect()) == sorted(plain.collect())
+    assert all(r.n == 1 for r in stored.where("document_id IS NOT NULL").groupBy("document_id").agg(F.count_distinct("document_tag").alias("n")).collect())
+    issues = reconciliation.journal_balance_issues(plain, "0.01", "CRITICAL").withColumn("dimension", F.lit("reconciliation"))
+    assert uids(reconciliation.journal_balance_issues(stored, "0.01", "CRITICAL")) == uids(issues) != []
+    some = issues.where(F.crc32(F.col("row_uid").cast("binary")) % 3 == 0)
+    assert uids(scoring.cascade_issues(stored, some)) == uids(scoring.cascade_issues(plain, some)) != []
+    # Neither rule deals the ledger out again.
+    some.write.parquet(str(tmp_path / "some"))
+    few = spark.read.parquet(str(tmp_path / "some"))
+    for job in (lambda: reconciliation.journal_balance_issues(stored, "0.01", "CRITICAL"), lambda: scoring.cascade_issues(stored, few)):
+        assert not _under_exchange(_exchanges_of(job(), spark), name)
+
+
+def test_layers_in_one_pass(spark, tmp_path):
+    row = {n: spark.createDataFrame([[f"{c}{i}" for c in EXPECTED_COLUMNS[n]] for i in range(6)], list(EXPECTED_COLUMNS[n])) for n in (TRANSACTIONS, RECEIVABLES, PAYABLES)}
+    tables = {n: raw.with_row_uid(df.withColumn("currency", F.lit("EUR")), n) for n, df in row.items()}
+    tables[TRANSACTIONS] = layers.store_by_document(tables[TRANSACTIONS], str(tmp_path / "ledger"), 4)
+    bad = tables[RECEIVABLES].where("invoice_id = 'invoice_id2'").unionByName(tables[TRANSACTIONS].where("document_id = 'document_id1'"), allowMissingColumns=True)
+    issues = bad.select("row_uid", F.when(F.col("row_uid").startswith("ACC"), RECEIVABLES).otherwise(TRANSACTIONS).alias("dataset"),
+                        *[F.lit(v).alias(c) for c, v in (("validation_rule", "missing_amount"), ("severity", "HIGH"), ("reason", "r"), ("field", "f"), ("dimension", "completeness"))])
+    counts = layers.write_layers(tables, scoring.flagged_by_dataset(issues), str(tmp_path / "layers"))
+    want = {r.dataset: {k: r[k] for k in ("n_raw", "n_validated", "n_quarantined")} for r in scoring.layer_counts(tables, issues).collect()}
+    assert counts == want and want[PAYABLES]["n_quarantined"] == 0 and want[RECEIVABLES]["n_quarantined"] == 1
+    held = layers.read_layer(spark, str(tmp_path / "layers"), RECEIVABLES, "quarantined").collect()
+    assert [r.invoice_id for r in held] == ["invoice_id2"] and "invoice_date2" in held[0].raw_record and held[0].invoice_date is None
+    assert layers.read_layer(spark, str(tmp_path / "layers"), TRANSACTIONS).where("raw_record IS NULL").count() == 5
+    split = {(r.dataset, r.layer): r.n for r in scoring.split_layers(tables, issues).groupBy("dataset", "layer").agg(F.count("*").alias("n")).collect()}
+    assert split[RECEIVABLES, "quarantined"] == 1 and split[TRANSACTIONS, "validated"] == 5
+
+
+def test_rule_counts_are_those_of_the_issues(spark):
+    df = spark.createDataFrame([("R1", "XYZ", "-5", None), ("R2", "EUR", "5", None), ("R3", None, "abc", "2024-01-01"), ("R4", "XYZ", "-1", " ")],
+                               "row_uid string, currency string, amount string, payment_date string").withColumn("document_type", F.lit("Cash Receipt"))
+    rules = [validity.currency_rule("HIGH"), validity.negative_amount_rule("amount", "MEDIUM"), *completeness.ledger_payment_date_rules(S)]
+    from tallystone.operators.issues import rule_counts
+    found = evaluate_row_rules(df, "t", rules).groupBy("dataset", "validation_rule", "severity", "field").agg(F.count("*").alias("n_issues"))
+    assert sorted(map(tuple, rule_counts(df, "t", rules).select(*found.columns).collect())) == sorted(map(tuple, found.collect()))
+
+
+@pytest.mark.parametrize("filters", [{}, {"severities": ["HIGH"], "entities": ["e1", "e2"]}, {"sources": ["s1"]}, {"rules": ["r0"], "limit": 3}])
+def test_browse_fetches_what_the_detail_shows(spark, filters):
+    from tallystone.schema import ROW_LEVEL_DATASETS
+
+    extra = {TRANSACTIONS: "source_system string, account_id string, transaction_date string", RECEIVABLES: "invoice_date string", PAYABLES: "invoice_date string"}
+    tables = {}
+    for n in ROW_LEVEL_DATASETS:
+        width = extra[n].count(",") + 1
+        rows = [(f"{n}{i}", f"e{i % 3}", *[f"s{i % 2}"] * width) for i in range(12)]
+        tables[n] = spark.createDataFrame(rows + rows[:2], f"row_uid string, entity_id string, {extra[n]}")
+    entries = [(n, f"{n}{i}", f"r{k}", ("HIGH", "CRITICAL")[i % 2], "why", "now") for n in ROW_LEVEL_DATASETS for i in range(12) for k in range(1 + i % 2)]
+    ledger = spark.createDataFrame(entries, "dataset string, record_id string, validation_rule string, severity string, reason string, timestamp string")
+    want = scoring.browse_quarantine(scoring.quarantine_detail_of_tables(ledger, tables), **filters)
+    got = scoring.browse_ledger(ledger, tables, **filters)
+    assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
