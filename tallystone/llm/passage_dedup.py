@@ -16,8 +16,8 @@ is left.
 
 Identifiers are 64-bit hashes, always compared together with the hash of the first 13 words.
 
-All groups are pre-aggregated, so much copied texts and passages that many documents share meet as few rows. Texts are
-joined twice by narrow keys: for the words of the runs to extend, and to cut them.
+All groups are pre-aggregated, so much copied texts and passages that many documents share meet as few rows; their own rows learn
+the outcome from a broadcast of at most 1,024 frequent keys, all others by a join. Texts are joined twice by narrow keys: for the words of the runs to extend, and to cut them.
 
 Defined cases: a null text has no words; texts shorter than `length` words keep all; a null key counts as greater than any other;
 rows with equal keys are not earlier than each other, so repeated rows stay; repeats within one document stay; an empty
@@ -35,6 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.llm.arrays import WordHasher, mix, powers, text_chunks
+from tallystone.llm.common import join_split
 from tallystone.session import materialize
 
 LENGTH = 50
@@ -212,13 +213,15 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     schema = "ord long, rid long, first int, last int, anchor int, gram long, whole long"
     runs = materialize(rows.mapInArrow(_scan(length), schema), "runs")
     # First length.
-    again = runs.groupBy("gram").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).where("lo < hi").select("gram")
-    runs = materialize(runs.join(again, "gram", "left_semi"), "repeated")
+    again = _shared_by(runs, ["gram"], "again")
+    runs = materialize(join_split(runs, again, ["gram"], "n").drop("n", "lo"), "repeated")
     one = F.min(F.struct("ord", "rid", "first", "last", "anchor"))
-    kinds = materialize(runs.groupBy("gram", "whole").agg(one.alias("one")).select("gram", "whole", "one.*"), "kinds")
-    marked = materialize(runs.join(kinds.select("gram", "whole", F.col("ord").alias("least")), ["gram", "whole"]), "marked")
-    several = kinds.groupBy("gram").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).where("lo < hi").select("gram")
-    left = materialize(kinds.join(several, "gram", "left_semi"), "left")
+    kinds = runs.groupBy("gram", "whole").agg(one.alias("one"), F.count(F.lit(1)).alias("n")).select("gram", "whole", "one.*", "n")
+    kinds = materialize(kinds, "kinds")
+    least = kinds.select("gram", "whole", F.col("ord").alias("least"), "n")
+    marked = materialize(join_split(runs, least, ["gram", "whole"], "n").drop("n"), "marked")
+    several = _shared_by(kinds, ["gram"], "several")
+    left = materialize(join_split(kinds.drop("n"), several, ["gram"], "n").drop("n", "lo"), "left")
     asked = left.groupBy("ord", "rid").agg(F.collect_list(F.struct("gram", "whole", "first", "last", "anchor")).alias("runs"))
     given = rows.join(asked, ["ord", "rid"]).mapInArrow(
         _cut_words(length), "gram long, whole long, ord long, near int, far int, words binary"
@@ -228,8 +231,8 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     for size in levels(length)[1:]:
         windows = table.mapInArrow(_extend(length, size), "gram long, whole long, ord long, slot int, id long")
         windows = materialize(windows, f"windows{size}")
-        groups = windows.groupBy("gram", "slot", "id").agg(F.min("ord").alias("lo"), F.max("ord").alias("hi")).where("lo < hi")
-        met = windows.join(groups, ["gram", "slot", "id"])
+        groups = _shared_by(windows, ["gram", "slot", "id"], "shared")
+        met = join_split(windows, groups, ["gram", "slot", "id"], "n")
         if size == length:
             found = materialize(met.where("ord > lo").select("gram", "whole", F.col("slot").alias("distance")), "found")
             break
@@ -248,6 +251,12 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     return materialize(spans, "spans")
 
 
+def _shared_by(rows: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """Keys that rows of several documents have: how many rows have them, n, and the smallest document, lo."""
+    groups = rows.groupBy(*keys).agg(F.min("ord").alias("lo"), F.max("ord").alias("hi"), F.count(F.lit(1)).alias("n"))
+    return materialize(groups.where("lo < hi").drop("hi"), name)
+
+
 def _ordinal(key: str) -> Column:
     return F.coalesce(F.col(key).cast("long"), F.lit(_LAST))
 
