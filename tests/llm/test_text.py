@@ -182,7 +182,8 @@ def test_language_edges(no_rows, clashing):
 
 # toxicity
 
-def test_block_max_search_is_exact():
+@pytest.mark.parametrize("common", [0, 5, 60])
+def test_block_max_search_is_exact(common):
     rng = np.random.default_rng(3)
     vectors = []
     for _ in range(500):
@@ -192,12 +193,30 @@ def test_block_max_search_is_exact():
     dense = np.zeros((500, 60))
     for i, (t, w) in enumerate(vectors):
         dense[i, t] = w
-    index = toxicity.BlockMaxIndex(vectors, 60, block=16)
+    index = toxicity.BlockMaxIndex(vectors, 60, block=16, common=common)
     for i, (t, w) in enumerate(vectors[:100]):
         cosine = dense @ dense[i]
         cosine[i] = 0
         found, got = index.search(t, w, 10, but=i)
         assert np.allclose(got, np.sort(cosine[cosine > 0])[::-1][:10]) and np.allclose(cosine[found], got)
+    together = index.search_many(vectors, 10, list(range(500)))
+    for i in range(0, 500, 7):
+        alone = index.search(*vectors[i], 10, but=i)
+        assert all(np.array_equal(a, b) for a, b in zip(together[i], alone))
+
+
+def test_terms_of_a_chunk_are_those_of_its_texts():
+    texts = ["Abc abcd ABCDE abcdef abcdefg abc", "", "É né1née_née", "x" * 9, None, "wörter wörtern"]
+    data = [(t or "").encode() for t in texts]
+    offsets = np.concatenate([[0], np.cumsum([len(b) for b in data])])
+    text, term, times = toxicity.chunk_terms(offsets, np.frombuffer(b"".join(data), np.uint8))
+    got = {(int(a), int(b)): int(n) for a, b, n in zip(text, term, times)}
+    want = Counter()
+    for i, t in enumerate(texts):
+        for word, n in toxicity.word_counts(t).items():
+            for name in toxicity.terms_of(word):
+                want[i, toxicity.term_id(name)] += n
+    assert got == want
 
 
 @pytest.fixture(scope="module")
@@ -238,13 +257,13 @@ def test_held_out_labels_teach_nothing(toxic_corpus):
     docs, labels = toxic_corpus
     flipped = labels.withColumn("toxic", F.when(toxicity.held_out(), 1 - F.col("toxic")).otherwise(F.col("toxic")))
     a, b = (toxicity.learn_toxicity(docs, x) for x in (labels, flipped))
-    assert a.vocabulary == b.vocabulary and a.labels.tolist() == b.labels.tolist() and a.base == b.base
+    assert a.vocabulary.terms.tolist() == b.vocabulary.terms.tolist() and a.labels.tolist() == b.labels.tolist() and a.base == b.base
 
 
 def test_document_frequencies_cover_all_documents(toxic_corpus):
     docs, labels = toxic_corpus
     model = toxicity.learn_toxicity(docs, labels, examples=200)
-    n, at = docs.count(), model.vocabulary["vile*"]
+    n, at = docs.count(), model.vocabulary.number("vile*")
     df = docs.where(F.col("text").contains("vilewort")).count()
     assert math.isclose(model.idf[at], math.log((1 + n) / (1 + df)) + 1)
 
@@ -262,11 +281,11 @@ def test_all_terms_of_a_text_are_searched(spark, toxic_corpus):
     terms = lambda t: Counter(x for w, k in toxicity.word_counts(t).items() for x in toxicity.terms_of(w) for _ in range(k))
     for r in docs.collect():
         counts.update(set(terms(r.text)))
-    number = model.vocabulary
+    number = lambda t: model.vocabulary.number(t)
 
     def vector(text):
         weight = {t: (1 + math.log(k)) * (math.log((1 + n) / (1 + counts[t])) + 1) for t, k in terms(text).items()}
-        weight = {t: w * (model.emphasis[number[t]] if t in number else 1) for t, w in weight.items()}
+        weight = {t: w * (model.emphasis[number(t)] if number(t) < len(model.emphasis) else 1) for t, w in weight.items()}
         size = math.sqrt(sum(w * w for w in weight.values()))
         return {t: w / size for t, w in weight.items()}
 
