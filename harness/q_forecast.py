@@ -448,6 +448,21 @@ def buffered_floor(b: Books) -> DataFrame:
     return plain(floors(b).select("scenario", "step", "period", *kept), digits=1)
 
 
+V["plan_feasible"] = f"""
+SELECT scenario, CASE WHEN max(floor - cash_baseline - deferred - early - cut) <= {PLAN_POLICY.max_borrowing} THEN 'optimal' ELSE 'infeasible' END AS status
+FROM (SELECT scenario, floor, cash_baseline,
+             avg(spend) OVER (PARTITION BY scenario) * {PLAN_POLICY.max_payment_delay_days / 30} AS deferred,
+             sum(revenue) OVER w * {PLAN_POLICY.max_collections_acceleration_pct} AS early,
+             sum(planned_capex) OVER w * {PLAN_POLICY.max_capex_reduction_pct} AS cut
+      FROM [floors] WINDOW w AS (PARTITION BY scenario ORDER BY step)) GROUP BY scenario"""
+
+
+@query("plan_status", "SELECT scenario, status FROM [plan_feasible]", models=True)
+def plan_status(b: Books) -> DataFrame:
+    """Each scenario, with a plan or without: all levers at their limits keep the floors, or nothing does."""
+    return cash_plan.plan_status(floors(b), plan(b)).select("scenario", "status")
+
+
 @query("plan_search", models=True)
 def plan_search(b: Books) -> DataFrame:
     return plain(cash_plan.search_plan(floors(b), PLAN_POLICY), digits=2)

@@ -178,3 +178,29 @@ def before_and_after(paths: DataFrame, plan_rows: DataFrame, settings: Liquidity
     before = liquidity_metrics(paths.join(with_plan, "scenario", "left_semi"), settings)
     after = liquidity_metrics(adjusted, settings)
     return before.withColumn("state", F.lit("before")).unionByName(after.withColumn("state", F.lit("after")))
+
+
+def plan_status(floors: DataFrame, plan_rows: DataFrame) -> DataFrame:
+    """Each scenario with a status: optimal, or infeasible where no plan keeps all floors."""
+    solved = plan_rows.groupBy("scenario").agg(F.max("total_cost").alias("total_cost"))
+    status = F.when(F.col("total_cost").isNull(), "infeasible").otherwise("optimal")
+    return floors.select("scenario").distinct().join(solved, "scenario", "left").withColumn("status", status)
+
+
+def plan_report(floors: DataFrame, plan_rows: DataFrame, paths: DataFrame, plan: PlanSettings | None = None) -> DataFrame:
+    """One row per scenario: status, costs, the headroom of the real policy, risk before and after the plan, and the months, nested. A
+    scenario without a plan has its status and headroom only."""
+    plan = plan or PlanSettings()
+    risk = before_and_after(paths, plan_rows, LiquiditySettings(minimum_cash=plan.policy_minimum_cash))
+    values = F.struct(*[c for c in risk.columns if c not in ("scenario", "state")])
+    states = risk.groupBy("scenario").agg(*[F.max(F.when(F.col("state") == s, values)).alias(s) for s in ("before", "after")])
+    month = F.struct(
+        "step", F.date_format("period", "yyyy-MM").alias("period"),
+        *[c for c in plan_rows.columns if c not in ("scenario", "step", "period", "total_cost")],
+    )
+    months = plan_rows.groupBy("scenario").agg(F.array_sort(F.collect_list(month)).alias("months"))
+    headroom = floors.groupBy("scenario").agg(F.min("real_policy_headroom").alias("real_policy_headroom"), F.max("floor").alias("highest_floor"))
+    out = plan_status(floors, plan_rows).drop("total_cost").join(headroom, "scenario")
+    for part in (plan_costs(plan_rows, plan), states, months):
+        out = out.join(part, "scenario", "left")
+    return out

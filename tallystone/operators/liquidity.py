@@ -42,6 +42,14 @@ def liquidity_metrics(paths: DataFrame, settings: LiquiditySettings | None = Non
     return result.withColumn("risk_score", risk_score(F.col("probability_of_liquidity_breach"), s))
 
 
+def liquidity_report(paths: DataFrame, settings: LiquiditySettings | None = None) -> DataFrame:
+    """One row per scenario: its risk figures and, nested, its months. paths: consolidated."""
+    months = breach_by_month(paths, settings)
+    fields = F.struct("step", F.date_format("period", "yyyy-MM").alias("period"), "probability_of_breach", "median_cash", "p5_cash")
+    nested = months.groupBy("scenario").agg(F.array_sort(F.collect_list(fields)).alias("by_month"))
+    return liquidity_metrics(paths, settings).join(nested, "scenario")
+
+
 def breach_by_month(paths: DataFrame, settings: LiquiditySettings | None = None) -> DataFrame:
     """Share of paths below the requirement, median and fifth percentile per month."""
     s = settings or LiquiditySettings()

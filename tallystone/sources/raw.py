@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,6 +16,8 @@ UNIT_SEPARATOR = "\x1f"
 # Raw columns never hold this token: the scan turns it into null.
 NULL_MARK = "<NA>"
 COPIES_PER_CHUNK = 65_536
+# Columns of a header that are looked at when expected ones are sought.
+MOST_COLUMNS = 200
 # Hexadecimal digits: 96 bits of a document's digest, all of a record's.
 TAG_LENGTH, DIGEST_LENGTH = 24, 32
 
@@ -44,6 +47,74 @@ def read_raw_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     return with_row_uid(normalise_na(scan), dataset)
 
 
+SOURCE_FILE, ROW_INDEX, CORRUPT = "source_file", "row_index", "corrupt_record"
+LINEAGE = (SOURCE_FILE, ROW_INDEX, CORRUPT)
+
+
+def csv_headers(spark: SparkSession, path: str) -> DataFrame:
+    """The header line of each file under a path: source_file, header. A file without any line has none.
+
+    The first block of a file is read by one task in order, so its first line is the one met first."""
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias(SOURCE_FILE), F.col("_metadata.file_block_start").alias("start"), "value"
+    )
+    return lines.where("start = 0").groupBy(SOURCE_FILE).agg(F.first("value").alias("header"))
+
+
+def scan_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+    """Scan the CSV files of a raw table whose headers may differ: files are grouped by header, read together, and united by column
+    name. A column that a file lacks is null in its records; `absent_columns` reports it.
+
+    Beside the data there are, for lineage, the file and the record's number in it, counted from 0: a key of the physical record
+    that stays the same on every reading, made without a shuffle of the records. And, in `corrupt_record`, the text of a
+    record with more or fewer fields than its header; its leading fields are kept, missing ones are null."""
+    raw_columns(dataset)
+    groups = csv_headers(spark, path).groupBy("header").agg(F.collect_list(SOURCE_FILE).alias("files")).collect()
+    parts = [_scan_files(spark, sorted(g["files"]), next(csv.reader([g["header"]]), [])) for g in sorted(groups, key=lambda g: g["header"])]
+    if not parts:
+        parts = [spark.createDataFrame([], ", ".join([*[f"`{c}` string" for c in EXPECTED_COLUMNS[dataset]], "source_file string, row_index long, corrupt_record string"]))]
+    whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    known = [c for c in raw_columns(dataset) if c in whole.columns]
+    others = sorted(c for c in whole.columns if c not in known and c not in LINEAGE)
+    return _keyed(whole, [*known, *others], dataset)
+
+
+def _keyed(whole: DataFrame, columns: list[str], dataset: str) -> DataFrame:
+    """Data columns normalised and keyed by content; the lineage columns do not count as content."""
+    clean = whole.select(*[null_if_na(F.col(c)).alias(c) for c in columns], *LINEAGE)
+    return with_row_uid(clean, dataset, columns)
+
+
+def _scan_files(spark: SparkSession, files: list[str], names: list[str]) -> DataFrame:
+    if len(set(names)) != len(names):
+        raise ValueError(f"a column occurs twice in the header {names} of {files[0]}")
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
+    options = dict(header=True, quote='"', escape='"', multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    scan = spark.read.schema(schema).options(**options).csv(files)
+    # A file with quoted line breaks is read by one task, in order; so its records have rising numbers without gaps.
+    numbered = scan.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE), F.monotonically_increasing_id().alias("place"))
+    heads = numbered.groupBy(SOURCE_FILE).agg(F.min("place").alias("head"))  # one row per file
+    return numbered.join(heads, SOURCE_FILE).withColumn(ROW_INDEX, F.col("place") - F.col("head")).drop("place", "head")
+
+
+def physical_rows(scan: DataFrame) -> DataFrame:
+    """A Parquet scan with the file and the record's number in it, from the hidden columns of the scan."""
+    return scan.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE), F.col("_metadata.row_index").alias(ROW_INDEX))
+
+
+def physical_id() -> Column:
+    """The key of a physical record, of a scan with lineage."""
+    return F.concat_ws("#", F.col(SOURCE_FILE), F.col(ROW_INDEX).cast("string"))
+
+
+def absent_columns(headers: DataFrame, dataset: str) -> DataFrame:
+    """Expected columns that the header of a file lacks: source_file, field."""
+    columns = F.from_csv("header", ", ".join(f"c{i} string" for i in range(MOST_COLUMNS)), {"quote": '"', "escape": '"'})
+    present = F.array_compact(F.array(*[columns[f"c{i}"] for i in range(MOST_COLUMNS)]))
+    expected = F.array(*[F.lit(c) for c in EXPECTED_COLUMNS[dataset]])
+    return headers.select(SOURCE_FILE, F.explode(F.array_except(expected, present)).alias("field"))
+
+
 def read_raw_parquet(spark: SparkSession, path: str, dataset: str) -> DataFrame:
     """Scan one raw table kept as Parquet."""
     raw_columns(dataset)
@@ -61,17 +132,19 @@ def content_hash(columns: list[str]) -> Column:
     return F.md5(F.concat_ws(UNIT_SEPARATOR, *parts))
 
 
-def with_row_uid(df: DataFrame, dataset: str) -> DataFrame:
+def with_row_uid(df: DataFrame, dataset: str, content: list[str] | None = None) -> DataFrame:
     """Add the lineage key `row_uid`: the dataset name and the record's digest.
 
     It needs no shuffle and no file order, and survives a re-read. Byte-identical copies share a key; every
     rule gives them the same verdict, so splits and joins on the key stay right. `number_copies` makes the
     key unique per physical record where that is wanted. In a table with documents the digest follows the document's tag, so
-    an issue names the document of its record without a look at the table."""
+    an issue names the document of its record without a look at the table. content: the columns that make up the record, by default
+    all."""
     columns = [c for c in df.columns if c != "row_uid"]
-    parts = [F.lit(dataset.upper() + "_"), content_hash(columns)]
+    digest = content_hash(content or columns)
+    parts = [F.lit(dataset.upper() + "_"), digest]
     if "document_id" in columns:
-        parts.insert(1, F.substring(F.md5(F.coalesce(F.col("document_id"), content_hash(columns))), 1, TAG_LENGTH))
+        parts.insert(1, F.substring(F.md5(F.coalesce(F.col("document_id"), digest)), 1, TAG_LENGTH))
     return df.select(F.concat(*parts).alias("row_uid"), *columns)
 
 
@@ -102,7 +175,7 @@ def number_copies(df: DataFrame) -> DataFrame:
 
 def null_counts(df: DataFrame, dataset: str) -> DataFrame:
     """Rows and missing values per column of a raw table, in one pass."""
-    columns = [c for c in df.columns if c not in ("row_uid", "document_tag")]
+    columns = [c for c in df.columns if c not in ("row_uid", "document_tag", *LINEAGE)]
     totals = df.agg(
         F.count(F.lit(1)).alias("n_rows"),
         *[F.count_if(F.col(c).isNull()).alias(c) for c in columns],
