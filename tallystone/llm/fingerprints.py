@@ -5,9 +5,10 @@ of its paragraphs' vectors modulo a power of two: the order of paragraphs does n
 paragraph adds or subtracts its vector. There are two vectors:
 
 - 16 lanes modulo 2^32, cut from the paragraph's SHA-512: the fingerprints of different multisets differ.
-- 128 lanes modulo 2^16: the sum of vectors drawn from the hashes of the paragraph's shingles of three words (one
+- 128 lanes modulo 2^32: the sum of vectors drawn from the hashes of the paragraph's shingles of three words (one
   shingle if it has fewer), each +1 or -1 in one block of 32 lanes and 0 in the others. The cosine of two such sums estimates that of the shingle counts, with a deviation of about
-  0.09 at most: the likeness, cut to 0 to 1. Equal fingerprints have likeness 1.
+  0.09 at most: the likeness, cut to 0 to 1. Equal fingerprints have likeness 1. A lane holds up to 2^31 shingles, more than a
+  text can have, so the likeness of two fingerprints is that of the sums they were made of.
 
 The fingerprint is both vectors in hexadecimal. `combine` adds and subtracts fingerprints.
 
@@ -79,7 +80,7 @@ def _all_lanes(lanes: str) -> Column:
 
 def _hexed(exact: Column, near: Column) -> Column:
     a = F.transform(exact, lambda x: F.lpad(F.hex(x), 8, "0"))
-    b = F.transform(near, lambda x: F.lpad(F.hex(F.pmod(x, F.lit(1 << 16))), 4, "0"))
+    b = F.transform(near, lambda x: F.lpad(F.hex(F.pmod(x, F.lit(1 << 32))), 8, "0"))
     return F.lower(F.concat(F.array_join(a, ""), F.array_join(b, "")))
 
 
@@ -93,7 +94,7 @@ def _numbers(fingerprint: Column, start: int, count: int, digits: int) -> Column
 def combine(left: Column, right: Column, sign: int = 1) -> Column:
     """The fingerprint of the union of two multisets (sign 1), or of the left one without the right one (sign -1)."""
     parts = []
-    for start, count, digits in ((0, EXACT, 8), (8 * EXACT, NEAR, 4)):
+    for start, count, digits in ((0, EXACT, 8), (8 * EXACT, NEAR, 8)):
         a, b = _numbers(left, start, count, digits), _numbers(right, start, count, digits)
         mod = F.lit(16 ** digits)
         both = F.zip_with(a, b, lambda x, y: F.lpad(F.hex(F.pmod(x + sign * y, mod)), digits, "0"))
@@ -112,7 +113,7 @@ def _cosine(a: Column, b: Column) -> Column:
 def likeness(a: Column, b: Column) -> Column:
     """Likeness of two fingerprints, 0 to 1."""
     def signed(f: Column) -> Column:
-        return F.transform(_numbers(f, 8 * EXACT, NEAR, 4), lambda x: F.when(x >= 1 << 15, x - (1 << 16)).otherwise(x))
+        return F.transform(_numbers(f, 8 * EXACT, NEAR, 8), lambda x: F.when(x >= 1 << 31, x - (1 << 32)).otherwise(x))
 
     return F.when(a == b, F.lit(1.0)).otherwise(_cosine(signed(a), signed(b)))
 

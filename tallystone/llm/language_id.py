@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tallystone.llm.arrays import text_chunks
 
 SLOTS = 1 << 16
-ROUNDS, LEAST_SHARE = 12, 0.02
+ROUNDS = 12
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -125,13 +125,10 @@ def infer(slots: np.ndarray, model: LanguageModel, penalty: float = 1.0) -> tupl
     chosen, best, chosen_shares = order[:1], float(alone[order[0]]), np.ones(1)
     cost = penalty * 0.5 * np.log(times.sum() + 1)
     for lang in order[1:]:
-        if shares[lang] < LEAST_SHARE:
-            break
         tried = np.append(chosen, lang)
         new_shares, likelihood = fit_shares(p[tried], times)
-        if likelihood / 3 - best <= cost:
-            break
-        chosen, best, chosen_shares = tried, likelihood / 3, new_shares
+        if likelihood / 3 - best > cost:
+            chosen, best, chosen_shares = tried, likelihood / 3, new_shares
     top = chosen[np.argmax(chosen_shares)]
     sure = posterior[top] if len(chosen) == 1 else max(posterior[top], float(chosen_shares.max()))
     return {int(c): float(s) for c, s in zip(chosen, chosen_shares)}, float(sure)

@@ -248,7 +248,7 @@ def test_edited_fingerprints(corpus):
     for key, _, sha, text, edited, following in want:
         r = by[key, sha]
         assert r.fingerprint[:128] == brute_exact(text) and r.edited_fingerprint[:128] == brute_exact(edited)
-        assert len(r.fingerprint) == 128 + 4 * 128 and 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
+        assert len(r.fingerprint) == 128 + 8 * 128 and 0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1
         off += [abs(r.near_edited - brute_cosine(text, edited)), abs(r.near_next - brute_cosine(text, following))]
     assert sum(off) / len(off) < 0.08 and max(off) < 0.45
 
@@ -266,6 +266,18 @@ def test_fingerprints_are_incremental(spark):
     assert row.union == f[3] and row.rest == f[1] and row.same == 1.0 and row.unlike < 0.5
 
 
+def test_likeness_of_long_repeats_is_that_of_the_fingerprints(spark):
+    """A shingle that occurs more than 2^15 and 2^16 times."""
+    rows = [(1, "a b c " * 40_000), (2, "d e f " * 70_000 + "a b c"), (3, "x y z")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = fingerprints.edited_fingerprints(docs)
+    by = {r.doc_id: r for r in got.select("*", fingerprints.likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("own")).collect()}
+    assert all(r.own == pytest.approx(r.near_edited, abs=1e-9) for r in by.values())
+    pair = spark.createDataFrame([(by[3].fingerprint, by[2].fingerprint), (by[2].fingerprint, by[1].fingerprint)], "a string, b string")
+    like = [r.v for r in pair.select(fingerprints.likeness(F.col("a"), F.col("b")).alias("v")).collect()]
+    assert like == pytest.approx([by[3].near_next, by[2].near_next], abs=1e-9)
+
+
 def test_fingerprint_edges(no_rows, clashing):
     assert fingerprints.edited_fingerprints(no_rows).collect() == []
     assert fingerprints.edited_fingerprints(clashing).count() == 4
