@@ -222,6 +222,45 @@ def model_comparison(b: Books) -> DataFrame:
     return plain(reports.model_comparison(evaluation(b), "ASIA", "revenue"), digits=3, off_ties=True)
 
 
+# Smoothing at given weights, and what the search makes of them.
+
+WEIGHTS = (0.3, 0.1, 0.2)
+V["smooth_start"] = """
+SELECT entity_id, metric, vals, m1 + (m2 - m1) / 12 * 5.5 AS level, (m2 - m1) / 12 AS trend,
+       list_transform(range(12), lambda i: vals[i + 1] - m1 - (m2 - m1) / 12 * (i - 5.5)) AS season
+FROM (SELECT *, list_sum(vals[1:12]) / 12 AS m1, list_sum(vals[13:24]) / 12 AS m2 FROM [arrays])"""
+V["smooth_walk"] = f"""
+WITH RECURSIVE walk AS (
+  SELECT entity_id, metric, vals, 12 AS i, level, trend, season, 0.0::DOUBLE AS sse FROM [smooth_start]
+  UNION ALL
+  SELECT entity_id, metric, vals, i + 1, new_level, {WEIGHTS[1]} * (new_level - level) + {1 - WEIGHTS[1]} * trend,
+         list_append(season[2:12], {WEIGHTS[2]} * (vals[i + 1] - new_level) + {1 - WEIGHTS[2]} * season[1]),
+         sse + (vals[i + 1] - level - trend - season[1]) ** 2
+  FROM (SELECT *, {WEIGHTS[0]} * (vals[i + 1] - season[1]) + {1 - WEIGHTS[0]} * (level + trend) AS new_level FROM walk WHERE i < len(vals)))
+SELECT * FROM walk WHERE i = len(vals)"""
+
+
+@query(
+    "smoothing_recursion",
+    "SELECT entity_id, metric, round(level, 2) AS level, round(trend, 3) AS trend, round(season[1], 2) AS next_season, round(sqrt(sse), 1) AS error FROM [smooth_walk]",
+)
+def smoothing_recursion(b: Books) -> DataFrame:
+    """Every series smoothed with given weights."""
+    weights = F.struct(*[F.lit(w).alias(n) for n, w in zip(("alpha", "beta", "gamma"), WEIGHTS)])
+    states = smoothing.smoothed_states(forecasting.to_arrays(series(b)).withColumn("weights", weights))
+    return states.select(
+        "entity_id", "metric", F.round("state.level", 2).alias("level"), F.round("state.trend", 3).alias("trend"),
+        F.round(F.col("state.season")[0], 2).alias("next_season"), F.round(F.sqrt("state.sse"), 1).alias("error"),
+    )
+
+
+@query("smoothing_weights")
+def smoothing_weights(b: Books) -> DataFrame:
+    """The weights of each series, with their error and that of the best point of the grid."""
+    found = smoothing.fit_weights(forecasting.to_arrays(series(b)))
+    return plain(found.select("entity_id", "metric", "weights.*", "sse", "grid_sse"), digits=4)
+
+
 # Scenario paths
 
 _SHIFTS = ", ".join(
@@ -463,21 +502,94 @@ def plan_status(b: Books) -> DataFrame:
     return cash_plan.plan_status(floors(b), plan(b)).select("scenario", "status")
 
 
-@query("plan_search", models=True)
+# The plan in SQL: all corners of the two totals, costed one by one. Amounts as in the operator, from its settings.
+V["plan_months"] = f"""
+SELECT *, shortfall - defer_cap AS need, shortfall - defer_cap - {PLAN_POLICY.max_borrowing} AS must FROM (
+  SELECT scenario, step, period, cash_baseline, greatest(floor - cash_baseline, 0.0) AS shortfall,
+         sum(revenue * {PLAN_POLICY.max_collections_acceleration_pct}) OVER w AS accel_upto,
+         sum(planned_capex * {PLAN_POLICY.max_capex_reduction_pct}) OVER w AS cut_upto,
+         avg(spend) OVER (PARTITION BY scenario) * {PLAN_POLICY.max_payment_delay_days / 30} AS defer_cap
+  FROM [floors] WINDOW w AS (PARTITION BY scenario ORDER BY step))"""
+V["plan_levels"] = "SELECT scenario, need AS level FROM [plan_months] UNION SELECT scenario, must FROM [plan_months]"
+V["plan_limits"] = "SELECT scenario, max(accel_upto) AS most_accel, max(cut_upto) AS most_cut FROM [plan_months] GROUP BY scenario"
+
+
+def _totals(own: str, other: str, most: str) -> str:
+    return f"""
+SELECT DISTINCT scenario, v FROM (
+  SELECT scenario, 0.0::DOUBLE AS v FROM [plan_limits] UNION ALL SELECT scenario, {own} FROM [plan_months]
+  UNION ALL SELECT scenario, level FROM [plan_levels]
+  UNION ALL SELECT l.scenario, l.level - m.{other} FROM [plan_levels] l JOIN [plan_months] m ON m.scenario = l.scenario)
+JOIN [plan_limits] USING (scenario) WHERE v >= 0 AND v <= {most} + {cash_plan.EPSILON}"""
+
+
+V["plan_accels"] = _totals("accel_upto", "cut_upto", "most_accel")
+V["plan_cuts"] = _totals("cut_upto", "accel_upto", "most_cut")
+V["plan_corners"] = f"""
+SELECT DISTINCT scenario, a, c FROM (
+  SELECT a.scenario, a.v AS a, c.v AS c FROM [plan_accels] a JOIN [plan_cuts] c ON c.scenario = a.scenario
+  UNION ALL SELECT a.scenario, a.v, l.level - a.v FROM [plan_accels] a JOIN [plan_levels] l ON l.scenario = a.scenario
+  UNION ALL SELECT c.scenario, l.level - c.v, c.v FROM [plan_cuts] c JOIN [plan_levels] l ON l.scenario = c.scenario)
+JOIN [plan_limits] USING (scenario)
+WHERE a >= 0 AND c >= 0 AND a <= most_accel + {cash_plan.EPSILON} AND c <= most_cut + {cash_plan.EPSILON}"""
+V["plan_best"] = f"""
+SELECT scenario, a, c, total_cost FROM (
+  SELECT scenario, a, c, max(borrow) AS peak,
+         sum(borrow) * {PLAN_POLICY.borrowing_rate_annual / 12} + a * {PLAN_POLICY.factoring_discount_rate} + c * {PLAN_POLICY.capex_delay_cost_rate} AS total_cost
+  FROM (SELECT p.*, greatest(need - least(a, accel_upto) - least(c, cut_upto), 0.0) AS borrow
+        FROM [plan_corners] p JOIN [plan_months] m ON m.scenario = p.scenario) GROUP BY scenario, a, c)
+WHERE peak <= {PLAN_POLICY.max_borrowing} + {cash_plan.EPSILON}
+QUALIFY row_number() OVER (PARTITION BY scenario ORDER BY round(total_cost, 4), a, c) = 1"""
+V["plan_rows"] = """
+SELECT *, borrow_balance + defer_balance + one_time AS net_adjustment, cash_baseline + borrow_balance + defer_balance + one_time AS cash_optimized
+FROM (SELECT *, least(greatest(shortfall - one_time, 0.0), defer_cap) AS defer_balance
+      FROM (SELECT m.scenario, step, period, total_cost, cash_baseline, shortfall, defer_cap,
+                   greatest(need - least(a, accel_upto) - least(c, cut_upto), 0.0) AS borrow_balance,
+                   least(a, accel_upto) + least(c, cut_upto) AS one_time,
+                   least(a, accel_upto) - coalesce(lag(least(a, accel_upto)) OVER w, 0) AS accel,
+                   least(c, cut_upto) - coalesce(lag(least(c, cut_upto)) OVER w, 0) AS capex_cut
+            FROM [plan_months] m JOIN [plan_best] b ON b.scenario = m.scenario WINDOW w AS (PARTITION BY m.scenario ORDER BY step)))"""
+_PLAN = ("total_cost", "borrow_balance", "defer_balance", "accel", "capex_cut", "cash_baseline", "net_adjustment", "cash_optimized")
+_PLAN_COSTS = f"""
+SELECT scenario, max(total_cost) AS total_cost, sum(borrow_balance) * {PLAN_POLICY.borrowing_rate_annual / 12} AS financing_cost,
+       sum(accel) * {PLAN_POLICY.factoring_discount_rate} AS acceleration_cost, sum(capex_cut) * {PLAN_POLICY.capex_delay_cost_rate} AS capex_delay_cost,
+       max(borrow_balance) AS max_borrow_balance, max(defer_balance) AS max_defer_balance, sum(accel) AS total_accelerated,
+       sum(capex_cut) AS total_capex_cut FROM [plan_rows] GROUP BY scenario"""
+_COSTS = ("total_cost", "financing_cost", "acceleration_cost", "capex_delay_cost", "max_borrow_balance", "max_defer_balance", "total_accelerated", "total_capex_cut")
+V["planned_paths"] = """
+SELECT c.scenario, c.sim_id, c.step, c.period, c.cash + p.net_adjustment AS cash FROM [consolidated] c
+JOIN [plan_rows] p ON p.scenario = c.scenario AND p.step = c.step"""
+V["unplanned_paths"] = "SELECT * FROM [consolidated] WHERE scenario IN (SELECT scenario FROM [plan_best])"
+
+
+@query("plan_search", f"SELECT scenario, step, {month()}, {ratio(*_PLAN, digits=2)} FROM [plan_rows]", models=True)
 def plan_search(b: Books) -> DataFrame:
     return plain(cash_plan.search_plan(floors(b), PLAN_POLICY), digits=2)
 
 
-@query("plan_costs", models=True)
+@query("plan_costs", f"SELECT scenario, {ratio(*_COSTS, digits=2)} FROM ({_PLAN_COSTS})", models=True)
 def plan_costs(b: Books) -> DataFrame:
     return plain(cash_plan.plan_costs(plan(b), PLAN_POLICY), digits=2)
 
 
-@query("plan_before_after", models=True)
+@query(
+    "plan_before_after",
+    " UNION ALL ".join(
+        f"SELECT scenario, '{state}' AS state, {_RISK_COLUMNS} FROM ({_metrics_sql(f'[{source}]', PLAN_RISK.minimum_cash)})"
+        for state, source in (("before", "unplanned_paths"), ("after", "planned_paths"))
+    ),
+    models=True,
+)
 def plan_before_after(b: Books) -> DataFrame:
     return _present_risk(cash_plan.before_and_after(consolidated(b), plan(b), PLAN_RISK))
 
 
-@query("plan_levers_long", models=True)
+@query(
+    "plan_levers_long",
+    """SELECT scenario, step, lever, round(amount, 2) AS amount
+       FROM (UNPIVOT (SELECT scenario, step, borrow_balance, defer_balance, accel, capex_cut FROM [plan_rows])
+             ON borrow_balance, defer_balance, accel, capex_cut INTO NAME lever VALUE amount)""",
+    models=True,
+)
 def plan_levers_long(b: Books) -> DataFrame:
     return plain(reports.plan_levers(plan(b)), digits=2)

@@ -351,7 +351,8 @@ def csv_scans(b: Books) -> dict[str, DataFrame]:
 
     if "csv_paths" not in b._frames:
         b._frames["csv_paths"] = {n: written(n) for n in EXPECTED_COLUMNS}
-    return {n: scan_csv(b.spark, path, n) for n, path in b._frames["csv_paths"].items()}
+        b._frames["csv_scans"] = {n: scan_csv(b.spark, path, n) for n, path in b._frames["csv_paths"].items()}
+    return b._frames["csv_scans"]
 
 
 _TABLE = {**RAW, **{n: n for n in EXPECTED_COLUMNS if n not in RAW}}
@@ -598,18 +599,12 @@ def validity_issues(b: Books) -> DataFrame:
 
 @query("fk_violation", _sql(*FOREIGN))
 def fk_violation(b: Books) -> DataFrame:
-    t = b.raw_tables()
-    checks = [
-        (TRANSACTIONS, "account_id", "chart_of_accounts"), (TRANSACTIONS, "entity_id", "entities"),
-        (RECEIVABLES, "entity_id", "entities"), (RECEIVABLES, "customer_id", "customers"),
-        (PAYABLES, "entity_id", "entities"), (PAYABLES, "vendor_id", "vendors"),
-    ]
-    return union_all([consistency.foreign_key_violations(t[d], d, c, t[m], "HIGH") for d, c, m in checks])
+    return consistency.consistency_issues(b.raw_tables(), SETTINGS).where(F.col("validation_rule").startswith("invalid_"))
 
 
 @query("category_drift", _sql(DRIFT))
 def category_drift(b: Books) -> DataFrame:
-    return consistency.category_drift(b[RAW[TRANSACTIONS]], b["chart_of_accounts"], "HIGH")
+    return consistency.consistency_issues(b.raw_tables(), SETTINGS).where("validation_rule = 'inconsistent_classification'")
 
 
 @query("consistency_issues", f"SELECT {_ISSUE} FROM [consistency_issues]")

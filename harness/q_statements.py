@@ -10,7 +10,6 @@ from harness.present import plain
 from harness.registry import query
 from harness.sql_books import money, month, ratio
 from tallystone.operators import accruals, journal, ledger, reports, statements, working_capital
-from tallystone.session import materialize
 
 IS_MONEY = statements.INCOME_COLUMNS[2:]
 BS_MONEY = tuple(c for c in statements.BALANCE_COLUMNS[2:] if c not in ("status", "economically_implausible"))
@@ -19,7 +18,7 @@ CF_MONEY = tuple(c for c in statements.CASH_FLOW_COLUMNS[2:] if c != "status")
 
 def enriched(b: Books) -> DataFrame:
     """The ledger is summed once to monthly postings; every statement reads that small written table."""
-    postings = materialize(ledger.monthly_postings(b["transactions"]), "postings")
+    postings = b.once("postings", lambda books: ledger.monthly_postings(books["transactions"]))
     return ledger.enrich(postings, b["chart_of_accounts"], b["fx_rates"])
 
 

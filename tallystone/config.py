@@ -83,6 +83,7 @@ class ForecastSettings:
     season: int = 12
 
 
+# The defaults of the next class.
 @dataclass(frozen=True)
 class LiquiditySettings:
     minimum_cash: float = 2_750_000.0
@@ -110,6 +111,7 @@ class SimulationSettings:
     cost_ratio: str = "correct"
 
 
+# The defaults of the next class.
 @dataclass(frozen=True)
 class PlanSettings:
     max_borrowing: float = 5_000_000.0

@@ -9,41 +9,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallystone.config import QualitySettings
-from tallystone.operators.issues import RowRule, evaluate_row_rules, issue_rows, union_issues
+from tallystone.operators.issues import RowRule, evaluate_row_rules, union_issues
 from tallystone.schema import PAYABLES, RECEIVABLES, TRANSACTIONS
 from tallystone.session import materialize
 
 DRIFT_REASON = "account_category differs from the chart of accounts"
 
 
-def foreign_key_violations(
-    df: DataFrame, dataset: str, column: str, master: DataFrame, severity: str
-) -> DataFrame | None:
-    """Records whose non-null key is not in the master table (which has the same column name)."""
-    if column not in df.columns:
-        return None
-    known = master.select(column).dropna().distinct()
-    failing = df.select("row_uid", column).where(F.col(column).isNotNull()).join(known, column, "left_anti")
-    return issue_rows(
-        failing, dataset, f"invalid_{column}", severity, f"no master record with this {column}", column
-    )
-
-
-def category_drift(transactions: DataFrame, coa: DataFrame, severity: str) -> DataFrame:
-    """Known accounts whose category on the record differs from the chart of accounts."""
-    truth = coa.select("account_id", F.col("account_category").alias("true_category"))
-    failing = (
-        transactions.select("row_uid", "account_id", "account_category")
-        .join(truth, "account_id")
-        .where(F.col("account_category") != F.col("true_category"))
-    )
-    return issue_rows(
-        failing, TRANSACTIONS, "inconsistent_classification", severity,
-        DRIFT_REASON, "account_category",
-    )
-
-
-def _references(
+def references(
     df: DataFrame, dataset: str, masters: dict[str, tuple[DataFrame, str]], drift_severity: str
 ) -> DataFrame:
     """All references of a table in one scan. masters: key column -> (written table of known keys, severity). Against the
@@ -68,13 +41,18 @@ def _known_keys(master: DataFrame, column: str) -> DataFrame:
     return materialize(keys, f"known_{column}")
 
 
+def known_accounts(coa: DataFrame) -> DataFrame:
+    """Known accounts with their categories, written."""
+    accounts = coa.where(F.col("account_id").isNotNull()).groupBy("account_id").agg(
+        F.lit(True).alias("known_account_id"), F.collect_set("account_category").alias("true_categories")
+    )
+    return materialize(accounts, "known_account_id")
+
+
 def consistency_issues(tables: dict[str, DataFrame], settings: QualitySettings) -> DataFrame:
     """One scan per fact table: all its masters are joined and all its rules evaluated together."""
     s = settings.severities
-    accounts = tables["chart_of_accounts"].where(F.col("account_id").isNotNull()).groupBy("account_id").agg(
-        F.lit(True).alias("known_account_id"), F.collect_set("account_category").alias("true_categories")
-    )
-    accounts = materialize(accounts, "known_account_id")
+    accounts = known_accounts(tables["chart_of_accounts"])
     entities = (_known_keys(tables["entities"], "entity_id"), s["invalid_entity"])
     frames = []
     for dataset, masters in (
@@ -82,5 +60,5 @@ def consistency_issues(tables: dict[str, DataFrame], settings: QualitySettings)
         (RECEIVABLES, {"entity_id": entities, "customer_id": (_known_keys(tables["customers"], "customer_id"), s["invalid_account"])}),
         (PAYABLES, {"entity_id": entities, "vendor_id": (_known_keys(tables["vendors"], "vendor_id"), s["invalid_account"])}),
     ):
-        frames.append(_references(tables[dataset], dataset, masters, s["inconsistent_classification"]))
+        frames.append(references(tables[dataset], dataset, masters, s["inconsistent_classification"]))
     return union_issues(frames)

@@ -11,7 +11,7 @@ from tallystone.schema import EXPECTED_COLUMNS, MONEY, TRANSACTIONS
 WRITE_OFF_DAYS = 120
 DEPRECIATION_MONTHLY_RATE = "0.015BD"
 
-# Opening balances as a share of an entity's annual revenue scale, with their side.
+# Opening balances as a share of an entity's annual revenue scale, with their side.
 OPENING_SHARES = (
     ("Cash", "debit", "0.11"),
     ("Accounts Receivable", "debit", "0.15"),

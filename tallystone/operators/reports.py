@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# The balances that yearly reports add up, and the smoothed ratios.
 BALANCE_STOCKS = (
     "cash", "accounts_receivable", "inventory", "other_current_assets", "total_assets", "accounts_payable", "debt",
     "other_liabilities", "income_tax_payable", "total_liabilities", "common_stock", "retained_earnings",

@@ -1,10 +1,12 @@
 """Exponential smoothing with additive trend and, from two full seasons on, an additive season.
 
-Parameters come from a grid and one refinement around its best point: each series is multiplied by the candidate
-parameters, folded over its ordered array, and keeps the candidate with the smallest squared one-step error."""
+The weights of each series are found by a pattern search for the least squared one-step error, started from the best point of a grid:
+see `fit_weights`."""
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,10 +15,9 @@ from tallystone.operators.forecasting import KEYS, expand_forecast, naive_values
 SEASON = 12
 MIN_SEASONAL = 24
 STATE = "struct<level:double,trend:double,season:array<double>,sse:double>"
-# Candidate smoothing weights of level, trend and season, and the steps around the best ones. Together they
-# reach from 0 to 1.
+# Smoothing weights of level, trend and season that the search starts from.
 GRID = ((0.1, 0.3, 0.5, 0.7, 0.9), (0.0, 0.1, 0.3, 0.6, 0.9), (0.0, 0.1, 0.3, 0.6, 0.9))
-STEPS = ((-0.1, -0.05, 0.0, 0.05, 0.1), (-0.1, -0.05, 0.0, 0.05, 0.1), (-0.1, 0.0, 0.1))
+FIRST_STEP, LEAST_STEP, ROUNDS = 0.1, 0.002, 60
 
 
 def _mean(array: Column) -> Column:
@@ -56,44 +57,63 @@ def _fold(state: Column, y: Column, p: Column) -> Column:
     ).cast(STATE)
 
 
-def _best(arrays: DataFrame, candidates: Column) -> DataFrame:
-    """Fold every candidate over its series and keep the best fitted state."""
-    seasonal = F.size("values") >= MIN_SEASONAL
-    tried = arrays.withColumn("candidates", candidates).withColumn("p", F.explode("candidates")).drop("candidates")
-    tried = tried.withColumn("p", F.when(seasonal, F.col("p")).otherwise(F.col("p").withField("gamma", F.lit(0.0))))
-    rest = F.when(seasonal, F.slice("values", SEASON + 1, F.greatest(F.size("values"), F.lit(1)))).otherwise(
-        F.slice("values", 2, F.greatest(F.size("values"), F.lit(1)))
-    )
-    fitted = tried.withColumn("state", F.aggregate(rest, _start(seasonal), lambda s, y: _fold(s, y, F.col("p"))))
-    order = F.struct(F.col("state.sse"), F.col("p"))
-    return fitted.groupBy(*KEYS).agg(
-        F.min_by("p", order).alias("p"), F.min_by("state", order).alias("state"), F.first("values").alias("values")
-    )
+def _seasonal() -> Column:
+    return F.size("values") >= MIN_SEASONAL
+
+
+def _smoothed(weights: Column) -> Column:
+    """The state after the whole series, smoothed with the given weights."""
+    first = F.when(_seasonal(), F.lit(SEASON + 1)).otherwise(F.lit(2))
+    rest = F.slice("values", first, F.greatest(F.size("values"), F.lit(1)))
+    return F.aggregate(rest, _start(_seasonal()), lambda state, y: _fold(state, y, weights))
 
 
-def _combinations(alphas: list[Column], betas: list[Column], gammas: list[Column]) -> Column:
+def _candidate(alpha: Column, beta: Column, gamma: Column, moved: int, step: Column) -> Column:
+    """Weights with their error, in an order that puts the least error first and, if tied, staying before moving."""
     bounded = lambda c: F.least(F.greatest(c, F.lit(0.0)), F.lit(1.0))
-    return F.array(
-        *[
-            F.struct(bounded(a).alias("alpha"), bounded(b).alias("beta"), bounded(g).alias("gamma"))
-            for a in alphas
-            for b in betas
-            for g in gammas
-        ]
+    weights = F.struct(
+        bounded(alpha).alias("alpha"), bounded(beta).alias("beta"), F.when(_seasonal(), bounded(gamma)).otherwise(F.lit(0.0)).alias("gamma")
     )
+    return F.struct(
+        _smoothed(weights)["sse"].alias("sse"), F.lit(moved).alias("moved"), weights.alias("weights"), step.alias("step")
+    )
+
+
+def fit_weights(arrays: DataFrame) -> DataFrame:
+    """keys, values, weights, sse and rounds-end step of every series of two values or more.
+
+    Each series starts from the best point of GRID. A round tries a step up and down in each weight; it moves to the best of the
+    six if that lowers the squared error, else it halves the step. A series stops when its step is below LEAST_STEP, or after ROUNDS
+    rounds. So the result is never worse than the grid. All of it is one expression over the row of a series: no shuffle, and no
+    round is a job."""
+    usable = arrays.where(F.size("values") >= 2).select(*KEYS, "values")
+    grid = F.array(*[F.struct(*[F.lit(v).alias(n) for n, v in zip(("a", "b", "c"), point)]) for point in itertools.product(*GRID)])
+    start = F.array_min(F.transform(grid, lambda g: _candidate(g["a"], g["b"], g["c"], 0, F.lit(FIRST_STEP))))
+    moves = F.array(*[
+        F.struct(*[F.lit(sign if i == axis else 0.0).alias(n) for i, n in enumerate(("a", "b", "c"))]) for axis in range(3) for sign in (-1.0, 1.0)
+    ])
+
+    def round_of(at: Column, _: Column) -> Column:
+        here, step = at["weights"], at["step"]
+        stay = F.struct(at["sse"].alias("sse"), F.lit(0).alias("moved"), here.alias("weights"), (step / 2).alias("step"))
+        tried = F.transform(
+            moves, lambda m: _candidate(here["alpha"] + m["a"] * step, here["beta"] + m["b"] * step, here["gamma"] + m["c"] * step, 1, step)
+        )
+        return F.when(step < LEAST_STEP, at).otherwise(F.array_min(F.concat(F.array(stay), tried)))
+
+    begun = usable.withColumn("start", start)
+    fitted = begun.withColumn("end", F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), F.col("start"), round_of))
+    return fitted.select(*KEYS, "values", "end.weights", "end.sse", F.col("start.sse").alias("grid_sse"), "end.step")
+
+
+def smoothed_states(weighted: DataFrame) -> DataFrame:
+    """keys and state of series with weights: level, trend, season of the next twelve months, squared error."""
+    return weighted.select(*KEYS, _smoothed(F.col("weights")).alias("state"))
 
 
 def exponential_smoothing(arrays: DataFrame, horizon: int) -> DataFrame:
     """Forecast of every series; one without two values repeats its last value."""
-    grid = _combinations(*[[F.lit(v) for v in axis] for axis in GRID])
-    usable = arrays.where(F.size("values") >= 2).select(*KEYS, "values")
-    coarse = _best(usable, grid)
-    around = _combinations(
-        *[[F.col("p")[name] + d for d in axis] for name, axis in zip(("alpha", "beta", "gamma"), STEPS)]
-    )
-    refined = _best(
-        coarse.select(*KEYS, "values", around.alias("around")), F.col("around")
-    )
+    states = smoothed_states(fit_weights(arrays))
     state = F.col("state")
     future = F.transform(
         F.sequence(F.lit(1), F.lit(horizon)),
@@ -101,4 +121,4 @@ def exponential_smoothing(arrays: DataFrame, horizon: int) -> DataFrame:
         + F.element_at(state["season"], ((s - 1) % SEASON + 1).cast("int")),
     )
     short = expand_forecast(arrays.where(F.size("values") < 2), "exponential_smoothing", naive_values(horizon))
-    return expand_forecast(refined, "exponential_smoothing", future).unionByName(short)
+    return expand_forecast(states, "exponential_smoothing", future).unionByName(short)

@@ -20,6 +20,7 @@ OPERATING_DOCUMENTS = ("Cash Receipt", "Vendor Payment", "Payroll", "Interest Pa
 INVESTING_DOCUMENTS = ("Capex",)
 FINANCING_DOCUMENTS: tuple[str, ...] = ()
 
+# The balance sheet line of each account subcategory, and the layouts of the statements.
 BALANCE_ACCOUNTS = {
     "Cash": "cash",
     "Accounts Receivable": "accounts_receivable",

@@ -332,3 +332,44 @@ def test_forecast_queries_run_with_all_models():
 
     for name in ("forecasts", "cash_paths", "consolidated_paths", "cash_fan", "liquidity_metrics", "plan_search"):
         assert f"{name}_all_models" in QUERIES
+
+
+def smooth_error(values, alpha, beta, gamma):
+    """Squared one-step error, in plain Python."""
+    n = smoothing.SEASON
+    if len(values) >= smoothing.MIN_SEASONAL:
+        first, second = sum(values[:n]) / n, sum(values[n:2 * n]) / n
+        trend = (second - first) / n
+        level, season = first + trend * (n - 1) / 2, [v - first - trend * (i - (n - 1) / 2) for i, v in enumerate(values[:n])]
+        rest = values[n:]
+    else:
+        level, trend, season, rest, gamma = values[0], values[1] - values[0], [0.0] * n, values[1:], 0.0
+    total = 0.0
+    for y in rest:
+        s, base = season.pop(0), level + trend
+        total += (y - base - s) ** 2
+        new = alpha * (y - s) + (1 - alpha) * base
+        trend = beta * (new - level) + (1 - beta) * trend
+        season.append(gamma * (y - new) + (1 - gamma) * s)
+        level = new
+    return total
+
+
+def test_weights_are_a_minimum_and_never_worse_than_the_grid(spark):
+    rng = random.Random(12)
+    rows = {}
+    for k, n in enumerate((2, 3, 10, 23, 24, 30, 60)):
+        rows[f"s{k}"] = [100 + 3 * i + 20 * (i % 12 in (3, 4)) + rng.gauss(0, 15) for i in range(n)]
+    rows["flat"] = [5.0] * 40
+    rows["walk"] = list(itertools.accumulate(rng.gauss(0, 5) for _ in range(48)))
+    df = spark.createDataFrame([(k, "m", v, date(2024, 1, 1)) for k, v in rows.items()], "entity_id string, metric string, values array<double>, last_period date")
+    for r in smoothing.fit_weights(df).collect():
+        values, at = rows[r.entity_id], (r.weights.alpha, r.weights.beta, r.weights.gamma)
+        assert r.sse == pytest.approx(smooth_error(values, *at), rel=1e-9, abs=1e-9)
+        grid = min(smooth_error(values, *p) for p in itertools.product(*smoothing.GRID))
+        assert r.grid_sse == pytest.approx(grid, rel=1e-9, abs=1e-9) and r.sse <= grid * (1 + 1e-12) + 1e-12
+        if r.step < smoothing.LEAST_STEP:
+            for axis in range(3):
+                for d in (-2 * r.step, 2 * r.step):
+                    near = [min(1.0, max(0.0, w + (d if i == axis else 0))) for i, w in enumerate(at)]
+                    assert smooth_error(values, *near) >= r.sse * (1 - 1e-9) - 1e-9

@@ -153,8 +153,9 @@ def test_foreign_keys_and_drift(spark):
     df = spark.createDataFrame([("R1", "9999", "x"), ("R2", "4000", "Revenue"), ("R3", None, "x"), ("R4", "4000", "Operating Expense")],
                                "row_uid string, account_id string, account_category string")
     coa = spark.createDataFrame([("4000", "Revenue")], "account_id string, account_category string")
-    assert uids(consistency.foreign_key_violations(df, TRANSACTIONS, "account_id", coa, "HIGH")) == ["R1"]
-    assert uids(consistency.category_drift(df, coa, "HIGH")) == ["R4"]
+    out = consistency.references(df, TRANSACTIONS, {"account_id": (consistency.known_accounts(coa), "HIGH")}, "HIGH")
+    assert uids(out.where("validation_rule = 'invalid_account_id'")) == ["R1"]
+    assert uids(out.where("validation_rule = 'inconsistent_classification'")) == ["R4"] and out.count() == 2
 
 
 def test_journal_balance_flags_all_legs(spark):
