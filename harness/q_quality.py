@@ -351,7 +351,7 @@ def csv_scans(b: Books) -> dict[str, DataFrame]:
 
     if "csv_paths" not in b._frames:
         b._frames["csv_paths"] = {n: written(n) for n in EXPECTED_COLUMNS}
-        b._frames["csv_scans"] = {n: scan_csv(b.spark, path, n) for n, path in b._frames["csv_paths"].items()}
+        b._frames["csv_scans"] = {n: scan_csv(b.spark, path, n, places=False) for n, path in b._frames["csv_paths"].items()}
     return b._frames["csv_scans"]
 
 
@@ -386,8 +386,9 @@ def raw_scan_csv(b: Books) -> DataFrame:
 def csv_lineage(b: Books) -> DataFrame:
     """Physical records, their distinct keys, and the places that the files have: the same number."""
     parts = []
-    for d, scan in csv_scans(b).items():
-        files = scan.groupBy("source_file").agg(
+    csv_scans(b)
+    for d, path in b._frames["csv_paths"].items():
+        files = scan_csv(b.spark, path, d).groupBy("source_file").agg(
             F.count(F.lit(1)).alias("n"), F.count_distinct("row_index").alias("ids"), (F.max("row_index") + 1).alias("places")
         )
         parts.append(files.agg(

@@ -5,7 +5,6 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallystone.config import SCENARIOS, ForecastSettings, LiquiditySettings, PlanSettings, QualitySettings, SimulationSettings
 from tallystone.operators import accruals, cash_plan, forecasting, ledger, liquidity, paths, statements, working_capital

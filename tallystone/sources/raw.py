@@ -61,16 +61,17 @@ def csv_headers(spark: SparkSession, path: str) -> DataFrame:
     return lines.where("start = 0").groupBy(SOURCE_FILE).agg(F.first("value").alias("header"))
 
 
-def scan_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, dataset: str, places: bool = True) -> DataFrame:
     """Scan the CSV files of a raw table whose headers may differ: files are grouped by header, read together, and united by column
     name. A column that a file lacks is null in its records; `absent_columns` reports it.
 
     Beside the data there are, for lineage, the file and the record's number in it, counted from 0: a key of the physical record
     that stays the same on every reading, made without a shuffle of the records. And, in `corrupt_record`, the text of a
-    record with more or fewer fields than its header; its leading fields are kept, missing ones are null."""
+    record with more or fewer fields than its header; its leading fields are kept, missing ones are null. Without `places` the
+    records are not numbered, which saves a second look at the files."""
     raw_columns(dataset)
     groups = csv_headers(spark, path).groupBy("header").agg(F.collect_list(SOURCE_FILE).alias("files")).collect()
-    parts = [_scan_files(spark, sorted(g["files"]), next(csv.reader([g["header"]]), [])) for g in sorted(groups, key=lambda g: g["header"])]
+    parts = [_scan_files(spark, sorted(g["files"]), next(csv.reader([g["header"]]), []), places) for g in sorted(groups, key=lambda g: g["header"])]
     if not parts:
         parts = [spark.createDataFrame([], ", ".join([*[f"`{c}` string" for c in EXPECTED_COLUMNS[dataset]], "source_file string, row_index long, corrupt_record string"]))]
     whole = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
@@ -81,16 +82,18 @@ def scan_csv(spark: SparkSession, path: str, dataset: str) -> DataFrame:
 
 def _keyed(whole: DataFrame, columns: list[str], dataset: str) -> DataFrame:
     """Data columns normalised and keyed by content; the lineage columns do not count as content."""
-    clean = whole.select(*[null_if_na(F.col(c)).alias(c) for c in columns], *LINEAGE)
+    clean = whole.select(*[null_if_na(F.col(c)).alias(c) for c in columns], *[c for c in LINEAGE if c in whole.columns])
     return with_row_uid(clean, dataset, columns)
 
 
-def _scan_files(spark: SparkSession, files: list[str], names: list[str]) -> DataFrame:
+def _scan_files(spark: SparkSession, files: list[str], names: list[str], places: bool) -> DataFrame:
     if len(set(names)) != len(names):
         raise ValueError(f"a column occurs twice in the header {names} of {files[0]}")
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
     options = dict(header=True, quote='"', escape='"', multiLine=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
     scan = spark.read.schema(schema).options(**options).csv(files)
+    if not places:
+        return scan.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE))
     # A file with quoted line breaks is read by one task, in order; so its records have rising numbers without gaps.
     numbered = scan.select("*", F.col("_metadata.file_path").alias(SOURCE_FILE), F.monotonically_increasing_id().alias("place"))
     heads = numbered.groupBy(SOURCE_FILE).agg(F.min("place").alias("head"))  # one row per file

@@ -44,6 +44,8 @@ def test_files_of_several_headers(spark, entity_files):
     assert rows["a.csv", 1].row_uid == rows["a.csv", 2].row_uid != rows["a.csv", 0].row_uid
     again = raw.scan_csv(spark, entity_files, "entities").select(raw.physical_id().alias("id"), "row_uid")
     assert sorted(again.collect()) == sorted(scan.select(raw.physical_id().alias("id"), "row_uid").collect())
+    plain = raw.scan_csv(spark, entity_files, "entities", places=False)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, scan.drop("row_index").select(*plain.columns).collect()))
     bad = completeness.malformed_records(scan, "entities").collect()
     assert sorted(r.reason for r in bad) == ["record 1 of c.csv does not fit its header", "record 2 of c.csv does not fit its header"]
 
