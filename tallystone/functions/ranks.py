@@ -12,6 +12,7 @@ shuffled are sketches and counts.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,24 +33,25 @@ def _same(left: str, right: str, keys: list[str]) -> Column:
 
 
 def _brackets(values: DataFrame, keys: list[str], value: str, shares: Sequence[float], margin: float) -> DataFrame:
-    """Sorted edges of the brackets of each group, and the brackets."""
+    """Low and high ends of the brackets of each group, and all of them sorted, the edges."""
     sketch = values.groupBy(*keys).agg(F.kll_sketch_agg_double(F.col(value).cast("double"), F.lit(SKETCH_SIZE)).alias("sketch"))
     low = F.array(*[F.lit(max(0.0, s - margin)) for s in shares])
     high = F.array(*[F.lit(min(1.0, s + margin)) for s in shares])
     at = sketch.select(
         *keys, F.kll_sketch_get_quantile_double("sketch", low).alias("low"), F.kll_sketch_get_quantile_double("sketch", high).alias("high")
     )
-    return at.select(*keys, F.arrays_zip("low", "high").alias("brackets"), F.array_sort(F.concat("low", "high")).alias("edges"))
+    return at.select(*keys, "low", "high", F.array_sort(F.concat("low", "high")).alias("edges"))
 
 
-def _counted(values: DataFrame, brackets: DataFrame, keys: list[str], value: str) -> DataFrame:
+def _counted(values: DataFrame, brackets: DataFrame, keys: list[str], value: str, count: int) -> DataFrame:
     """Counts by slot (between two edges), range and value. Outside the brackets value is null and the range -1; these come first in
-    their slot, since of such a slot only the upper edge may lie in a bracket."""
+    their slot, since of such a slot only the upper edge may lie in a bracket. count: brackets of a group. Plain comparisons, one for
+    each edge, are compiled, which functions over arrays are not."""
     table = values.select(*keys, F.col(value).alias("value")).alias("v").join(
         brackets.alias("b"), _same("v", "b", keys)
-    ).select(*[F.col(f"v.{k}").alias(k) for k in keys], "value", F.col("value").cast("double").alias("x"), "brackets", "edges")
-    slot = F.size(F.filter("edges", lambda e: e < F.col("x")))
-    inside = F.exists("brackets", lambda b: (b["low"] <= F.col("x")) & (F.col("x") <= b["high"]))
+    ).select(*[F.col(f"v.{k}").alias(k) for k in keys], "value", F.col("value").cast("double").alias("x"), "low", "high", "edges")
+    slot = reduce(lambda a, b: a + b, [(F.col("edges")[i] < F.col("x")).cast("int") for i in range(2 * count)])
+    inside = reduce(lambda a, b: a | b, [(F.col("low")[i] <= F.col("x")) & (F.col("x") <= F.col("high")[i]) for i in range(count)])
     table = table.select(*keys, "value", "x", "edges", slot.alias("slot"), inside.alias("inside"))
     low = F.get("edges", F.greatest(F.col("slot") - 1, F.lit(0)))
     width = F.get("edges", "slot") - low
@@ -93,7 +95,7 @@ def grouped_ranks(values: DataFrame, keys: list[str], value: str, shares: Sequen
     margin, done = MARGIN, []
     while True:
         brackets = materialize(_brackets(rest, keys, value, shares, margin), "brackets")
-        counts = materialize(_counted(rest, brackets, keys, value), "rank_counts")
+        counts = materialize(_counted(rest, brackets, keys, value, len(shares)), "rank_counts")
         picked = materialize(_picked(counts, keys, shares), "ranks")
         missed = picked.groupBy(*keys).agg(F.max("missed").alias("missed")).where("missed").drop("missed")
         if margin >= 1 or missed.isEmpty():
