@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tallystone.llm import exact_dedup, mixing, near_dedup, segmentation, toxicity
 from tallystone.session import materialize
@@ -33,10 +32,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sampled segmentations of each document of the mix, with its source: doc_id, source, sample, ids and their scores, and whether
     the ids decode to its text."""
-    digest = F.sha2(F.coalesce(docs["text"], F.lit("")), 256)
-    rows = segmentation.sample_segmentations(docs, carry={"source": docs["source"], "text_sha256": digest})
-    decoded = segmentation.decode_ids(rows).withColumn("round_trip", F.sha2("decoded", 256) == F.col("text_sha256"))
-    return decoded.select(*[c for c in decoded.columns if c not in ("text_sha256", "round_trip", "decoded")], "text_sha256", "round_trip")
+    return segmentation.sample_segmentations(docs, carry={"source": docs["source"]}, checked=True)
 
 
 STAGES = [

@@ -15,8 +15,8 @@ Links. In each bucket (texts with an equal band) every text is compared with one
 band; what is linked by then is one component. Then, in the buckets that still hold several components, each text outside the largest is
 compared with the texts of other components of the bucket, if their samples agree well enough to allow the threshold; of these
 each text tries its best ones, eight times as many in each round, until no untested pair of different components is left. So no pairs are listed inside a
-component, and no link between components is lost among the candidates. Every link is verified by the exact weighted Jaccard
-similarity.
+component. Every link is verified by the exact weighted Jaccard similarity. What may be lost, at a similarity of just 0.8: a
+pair without a common band (1.8 in 10,000), and one whose 256 further samples agree four standard deviations too rarely (1 in 20,000).
 
 Defined cases: a null text is empty; a text without words is similar to none but its exact copies; a text of one to four words is one shingle; repeated rows
 are copies; of a class the smallest doc_id stays (null last), and one row of it; an empty table gives an empty

@@ -134,11 +134,9 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_segmentation")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     whole = F.sha2(F.coalesce("text", F.lit("")), 256)
-    rows = segmentation.sample_segmentations(read(spark, sf_dir, "documents"), carry={"text_sha256": whole})
-    rows = rows.withColumn("n_pieces", F.size("ids").cast("long"))
-    rows = rows.withColumn("ids_sha256", F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256))
-    out = segmentation.decode_ids(rows)
-    return out.select("*", (F.sha2("decoded", 256) == F.col("text_sha256")).alias("round_trip")).drop("decoded")
+    rows = segmentation.sample_segmentations(read(spark, sf_dir, "documents"), carry={"text_sha256": whole}, checked=True)
+    digest = F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256)
+    return rows.withColumns({"n_pieces": F.size("ids").cast("long"), "ids_sha256": digest}).drop("ids")
 
 
 @query("op9_near_dedup")

@@ -434,8 +434,8 @@ def _lattices(model: bytes) -> Lattices:
     return Lattices(Pieces(model))
 
 
-def _sampler(model: bytes, samples: int, seed: int):
-    names = ["rec", "sample", "ids", "log_prob", "perturbed", "inclusion"]
+def _sampler(model: bytes, samples: int, seed: int, checked: bool):
+    names = ["rec", "sample", "ids", "log_prob", "perturbed", "inclusion", *(["round_trip"] if checked else [])]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattices = _lattices(model)
@@ -465,7 +465,7 @@ def _sampler(model: bytes, samples: int, seed: int):
                 with np.errstate(over="ignore"):
                     firsts = -np.log(-np.log(uniform(seeds + np.uint64(999_983) * _ROUND)))
                     sets = truncated_gumbel(mass, np.repeat(firsts, counts), uniform(unit_seeds + _ROUND))
-                owner, number, ids, offsets, logs, values, scores = [], [], [], [0], [], [], []
+                owner, number, ids, offsets, logs, values, scores, same = [], [], [], [0], [], [], [], []
                 for d in range(last - row):
                     a, b = begin[d], begin[d + 1]
                     for n, (edges, log, value, score) in enumerate(sample_text(lattices, roots[a:b], paths[d], int(seeds[d]), float(firsts[d]), sets[a:b])):
@@ -477,10 +477,13 @@ def _sampler(model: bytes, samples: int, seed: int):
                         logs.append(log)
                         values.append(value)
                         scores.append(score)
+                        if checked:
+                            same.append(lattices.pieces.decode(got) == (texts[row + d] or "").encode())
                 lists = pa.ListArray.from_arrays(pa.array(np.array(offsets, np.int32)), pa.array(np.concatenate(ids)))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("rec").take(pa.array(owner)), pa.array(number, pa.int32()), lists, pa.array(logs, pa.float64()),
-                     pa.array(values, pa.float64()), pa.array(scores, pa.float64())], names=names,
+                     pa.array(values, pa.float64()), pa.array(scores, pa.float64()), *([pa.array(same, pa.bool_())] if checked else [])],
+                    names=names,
                 )
                 row = last
 
@@ -489,17 +492,19 @@ def _sampler(model: bytes, samples: int, seed: int):
 
 def sample_segmentations(
     docs: DataFrame, samples: int = 2, seed: int = 1, key: str = "doc_id", text: str = "text", model: str = MODEL,
-    carry: dict[str, Column] | None = None,
+    carry: dict[str, Column] | None = None, checked: bool = False,
 ) -> DataFrame:
     """doc_id, the columns of `carry`, sample (0 first), ids, log_prob, perturbed (falling with the sample) and inclusion
-    (a log-probability): a row for each sampled segmentation of each document. The model file is read on the driver and
-    sent to the tasks (half a megabyte)."""
+    (a log-probability): a row for each sampled segmentation of each document. `checked`: the ids are decoded where they are made, and
+    round_trip tells whether that gives the text. The model file is read on the driver and sent to the tasks (half a megabyte)."""
     with open(model, "rb") as file:
         content = file.read()
     own = [F.col(key).alias("doc_id"), *[c.alias(n) for n, c in (carry or {}).items()]]
     rows = docs.select(F.struct(*own).alias("rec"), F.col(key).cast("string").alias("key"), F.col(text).cast("string").alias("text"))
     schema = f"rec {rows.schema['rec'].dataType.simpleString()}, sample int, ids array<int>, log_prob double, perturbed double, inclusion double"
-    return rows.mapInArrow(_sampler(content, samples, seed), schema).select("rec.*", "sample", "ids", "log_prob", "perturbed", "inclusion")
+    more = ["round_trip"] if checked else []
+    sampled = rows.mapInArrow(_sampler(content, samples, seed, checked), schema + "".join(f", {c} boolean" for c in more))
+    return sampled.select("rec.*", "sample", "ids", "log_prob", "perturbed", "inclusion", *more)
 
 
 def _decoder(model: bytes):

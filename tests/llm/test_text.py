@@ -424,6 +424,8 @@ def test_round_trip(corpus, model):
     assert all(sp.decode(list(r.ids)) in by_key[r.doc_id] for r in got)
     decoded = Counter((r.doc_id, bytes(r.decoded).decode()) for r in segmentation.decode_ids(rows.where("sample = 0")).collect())
     assert decoded == texts
+    whole = segmentation.sample_segmentations(corpus, 2, checked=True)
+    assert whole.where("round_trip").count() == len(got) and Counter(map(str, whole.drop("round_trip").collect())) == Counter(map(str, got))
     again = segmentation.sample_segmentations(corpus.repartition(3), 2).collect()
     assert Counter(map(str, again)) == Counter(map(str, got))
 
@@ -454,7 +456,7 @@ def test_pipeline(spark, tmp_path, toxic_corpus, corpus):
     rows = docs.union(corpus)
     assert counts[0] == rows.count() - 151  # toxic ones, one of them without key
     assert counts[1] <= counts[0] - 16 and counts[2] <= counts[1] - 8
-    assert stage.columns[:3] == ["doc_id", "source", "sample"] and stage.where("round_trip").count() == counts[-1] > 0
+    assert stage.columns[:4] == ["doc_id", "source", "sample", "ids"] and stage.where("round_trip").count() == counts[-1] > 0
     again = corpus_pipeline.run(spark, str(tmp_path))
     assert again.exceptAll(stage).isEmpty() and stage.exceptAll(again).isEmpty()
 
