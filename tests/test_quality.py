@@ -420,3 +420,19 @@ def test_browse_fetches_what_the_detail_shows(spark, filters):
     want = scoring.browse_quarantine(scoring.quarantine_detail_of_tables(ledger, tables), **filters)
     got = scoring.browse_ledger(ledger, tables, **filters)
     assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_few_rows_are_compared_by_whole_keys(spark, tmp_path):
+    """Copies and unbalanced documents are told from digests; only suspects meet again by their keys."""
+    rows = spark.createDataFrame(
+        [(f"u{i}", f"d{i // 2}", "10", "0") if i % 2 else (f"u{i}", f"d{i // 2}", "0", "10") for i in range(200)]
+        + [("u7", "d3", "0", "0"), ("u200", "d50", "3", "0"), ("u201", None, "9", "0"), ("u202", "d200", None, "x")],
+        "row_uid string, document_id string, debit string, credit string",
+    )
+    found = uniqueness.exact_duplicates(rows, TRANSACTIONS, "HIGH")
+    assert [r.row_uid for r in found.collect()] == ["u7", "u7"]
+    open_legs = reconciliation.journal_balance_issues(rows, "0.01", "CRITICAL")
+    assert sorted(r.row_uid for r in open_legs.collect()) == ["u100", "u101", "u200"]
+    for df in (found, open_legs):
+        text = df._jdf.queryExecution().optimizedPlan().toString()
+        assert "LogicalRDD" not in text and "LocalRelation" not in text
