@@ -158,6 +158,37 @@ def test_foreign_keys_and_drift(spark):
     assert uids(out.where("validation_rule = 'inconsistent_classification'")) == ["R4"] and out.count() == 2
 
 
+def _keyed_if(failing: str):
+    """A lineage key that is an error for records that fail nothing."""
+    return F.expr(f"CASE WHEN {failing} THEN concat('R', row_no) ELSE raise_error('key of a clean record') END").alias("row_uid")
+
+
+def test_row_rules_make_no_key_of_a_clean_record(spark):
+    rows = spark.createDataFrame([("1", "EUR"), ("2", "XYZ"), ("3", None), ("4", "USD")], "row_no string, currency string")
+    df = rows.select(_keyed_if("currency = 'XYZ'"), "currency")
+    assert uids(evaluate_row_rules(df, TRANSACTIONS, [validity.currency_rule("HIGH")])) == ["R2"]
+
+
+def test_references_make_no_key_of_a_clean_record(spark):
+    schema = "row_no string, account_id string, account_category string, entity_id string"
+    rows = [("1", "4000", "Revenue", "ASIA"), ("2", "9999", "x", "ASIA"), ("3", None, "x", None), ("4", "4000", "COGS", "ASIA"),
+            ("5", "4000", "Revenue", "ATLANTIS"), ("6", "4000", None, "ASIA"), ("7", "5000", "A", "ASIA")]
+    df = spark.createDataFrame(rows, schema).select(_keyed_if("row_no IN ('2', '4', '5', '7')"), "account_id", "account_category", "entity_id")
+    coa = spark.createDataFrame([("4000", "Revenue"), ("5000", "A"), ("5000", "B")], "account_id string, account_category string")
+    entities = consistency._known_keys(spark.createDataFrame([("ASIA",), ("ASIA",), (None,)], "entity_id string"), "entity_id")
+    masters = {"account_id": (consistency.known_accounts(coa), "HIGH"), "entity_id": (entities, "HIGH")}
+    out = consistency.references(df, TRANSACTIONS, masters, "HIGH")
+    assert sorted((r.row_uid, r.validation_rule) for r in out.collect()) == [
+        ("R2", "invalid_account_id"), ("R4", "inconsistent_classification"), ("R5", "invalid_entity_id"), ("R7", "inconsistent_classification"),
+    ]
+
+
+def test_outliers_make_no_key_of_a_clean_record(spark):
+    rows = [(str(i), "a", str(100 + i % 5)) for i in range(30)] + [("98", "a", "10000"), ("99", "a", "10000"), ("97", None, "5"), ("96", "a", "x")]
+    df = spark.createDataFrame(rows, "row_no string, g string, amount string").select(_keyed_if("amount = '10000'"), "g", "amount")
+    assert sorted(uids(validity.outliers(validity.outlier_values(df, TRANSACTIONS, "amount", "g"), S))) == ["R98", "R99"]
+
+
 def test_journal_balance_flags_all_legs(spark):
     df = spark.createDataFrame(
         [("R1", "D1", "100", "0"), ("R2", "D1", "0", "90"), ("R3", "D2", "50", "x"), ("R4", "D2", None, "50"), ("R5", None, "5", "0")],
