@@ -16,7 +16,8 @@ band; what is linked by then is one component. Then, in the buckets that still h
 compared with the texts of other components of the bucket, if their samples agree well enough to allow the threshold; of these
 each text tries its best ones, eight times as many in each round, until no untested pair of different components is left. So no pairs are listed inside a
 component. Every link is verified by the exact weighted Jaccard similarity. What may be lost, at a similarity of just 0.8: a
-pair without a common band (1.8 in 10,000), and one whose 256 further samples agree four standard deviations too rarely (1 in 20,000).
+pair without a common band (1.8 in 10,000), one whose 1,024 further samples agree four standard deviations too rarely (1 in 20,000), and one
+whose 36 samples of the bands or first 128 further ones agree five too rarely (4 in a million).
 
 Defined cases: a null text is empty; a text without words is similar to none but its exact copies; a text of one to four words is one shingle; repeated rows
 are copies; of a class the smallest doc_id stays (null last), and one row of it; an empty table gives an empty
@@ -40,7 +41,8 @@ from tallystone.llm.components import components
 from tallystone.session import materialize
 
 WORDS, THRESHOLD = 5, 0.8
-BANDS, ROWS, SKETCH = 12, 3, 256
+BANDS, ROWS = 12, 3
+SKETCHES = ((128, 5), (1024, 4))  # samples, and the standard deviations that a pair may fall short by
 SLOT_BITS = 18
 WEIGHT_BITS, WEIGHT_STEP = 26, 64  # a packed feature: 38 hash bits, then the weight in 64ths
 
@@ -101,16 +103,26 @@ class _Sampler:
 
     def __call__(self, hashes: np.ndarray, weights: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """Samples of each text (rows) from the features of several; starts: each text's first feature."""
-        logs = np.log(weights).astype(np.float32)
+        logs, n = np.log(weights).astype(np.float32), len(hashes)
         out = np.empty((len(starts), len(self.factors)), dtype=np.float32)
+        # Every step writes to these few arrays, which stay in the processor's cache.
+        product, at = np.empty(n, np.uint64), np.empty(n, np.intp)
+        a, table, low = np.empty(n, np.float32), np.empty(n, np.float32), np.empty(n, np.float32)
         for k, factor in enumerate(self.factors):
-            with np.errstate(over="ignore"):
-                product = hashes * factor
-            at = (product >> np.uint64(48)).astype(np.int32)
-            b, r = self.b[at], self.r[at]
-            t = np.floor(logs * self.inverse[at] + b)
-            a = self.c[at] - r * (t - b)
-            a += ((product >> np.uint64(24)).astype(np.uint32) & np.uint32(0xFFFFFF)).astype(np.float32) * np.float32(1e-3 / (1 << 24))
+            np.multiply(hashes, factor, out=product)
+            np.right_shift(product, np.uint64(48), out=at.view(np.uint64))
+            # t = floor(ln w / r + b); ln a = c - r (t - b), where c holds the last - r
+            np.multiply(logs, self.inverse.take(at, out=a, mode="clip"), out=a)
+            a += self.b.take(at, out=table, mode="clip")
+            np.floor(a, out=a)
+            a -= table
+            a *= self.r.take(at, out=table, mode="clip")
+            np.subtract(self.c.take(at, out=table, mode="clip"), a, out=a)
+            np.right_shift(product, np.uint64(24), out=product)
+            np.bitwise_and(product, np.uint64(0xFFFFFF), out=product)
+            np.copyto(low, product.view(np.int64), casting="unsafe")
+            low *= np.float32(1e-3 / (1 << 24))
+            a += low
             out[:, k] = np.minimum.reduceat(a, starts)
         return out
 
@@ -174,20 +186,58 @@ def _featurer(weights: np.ndarray):
     return pack
 
 
-def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """More samples of texts, from their packed features."""
-    sampler = _Sampler(SKETCH)
-    for batch in batches:
-        nodes, out = [], []
-        for i, packed_row in enumerate(batch.column("features").to_pylist()):
-            x = np.frombuffer(packed_row, np.uint64)
-            if len(x):
-                weights = (x & np.uint64((1 << WEIGHT_BITS) - 1)).astype(np.float32) / WEIGHT_STEP
-                nodes.append(i)
-                out.append(sampler(x >> np.uint64(WEIGHT_BITS) << np.uint64(WEIGHT_BITS), weights, np.zeros(1, np.int64)).view(np.int32))
-        flat = np.concatenate(out).ravel() if out else np.zeros(0, np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, SKETCH, dtype=np.int32)), pa.array(flat))
-        yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(nodes, pa.int64())), lists], names=["node", "sketch"])
+def _sketcher(size: int):
+    """More samples of texts, from their packed features: four hash bits of each, sixteen samples in a long."""
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sampler, places = _Sampler(size), np.uint64(4) * np.arange(16, dtype=np.uint64)
+        for batch in batches:
+            nodes, out = [], []
+            texts: list[np.ndarray] = []
+            held = 0
+
+            def flush() -> None:
+                nonlocal held
+                if texts:
+                    x = np.concatenate(texts)
+                    weights = (x & np.uint64((1 << WEIGHT_BITS) - 1)).astype(np.float32) / WEIGHT_STEP
+                    starts = np.cumsum([0] + [len(t) for t in texts[:-1]])
+                    samples = sampler(x >> np.uint64(WEIGHT_BITS) << np.uint64(WEIGHT_BITS), weights, starts).view(np.uint32)
+                    bits = ((samples * np.uint32(2654435769)) >> np.uint32(28)).astype(np.uint64)
+                    out.append(np.bitwise_or.reduce(bits.reshape(len(texts), -1, 16) << places, axis=2).view(np.int64))
+                    texts.clear()
+                    held = 0
+
+            for i, packed_row in enumerate(batch.column("features").to_pylist()):
+                x = np.frombuffer(packed_row, np.uint64)
+                if len(x):
+                    nodes.append(i)
+                    texts.append(x)
+                    held += len(x)
+                if held >= 1 << 15:
+                    flush()
+            flush()
+            flat = np.concatenate(out).ravel() if out else np.zeros(0, np.int64)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, flat.size + 1, size // 16, dtype=np.int32)), pa.array(flat))
+            yield pa.RecordBatch.from_arrays([batch.column("node").take(pa.array(nodes, pa.int64())), lists], names=["node", "sketch"])
+
+    return sketch
+
+
+def _sketch_agreement(a: str, b: str, size: int) -> Column:
+    """In how many samples two sketches agree; unequal samples agree by chance in one of sixteen."""
+
+    def unequal(x: Column, y: Column) -> Column:
+        z = x.bitwiseXOR(y)
+        z = z.bitwiseOR(F.shiftright(z, 1))
+        return F.bit_count(z.bitwiseOR(F.shiftright(z, 2)).bitwiseAND(F.lit(0x1111111111111111)))
+
+    return F.lit(size) - F.aggregate(F.zip_with(a, b, unequal), F.lit(0), lambda s, n: s + n)
+
+
+def _least_agreement(samples: int, chance: float, deviations: float) -> int:
+    """The agreements below which a pair that agrees in a sample with this probability stays so many standard deviations too rarely."""
+    return math.floor(samples * chance - deviations * math.sqrt(samples * chance * (1 - chance)))
 
 
 def weighted_jaccard(a: bytes, b: bytes) -> float:
@@ -274,23 +324,39 @@ def _links(signed: DataFrame, feature_table, threshold: float) -> DataFrame:
     found = materialize(_verified(batch, features, threshold), "verified")
     links, labels = links.unionByName(found), _merged(labels, found)
 
-    # Then all pairs whose sketches leave the threshold likely: at most four standard deviations below it.
-    sketches = materialize(features.mapInArrow(_sketch, "node binary, sketch array<int>"), "sketches")
-    least = math.floor(SKETCH * threshold - 4 * math.sqrt(SKETCH * threshold * (1 - threshold)))
+    # Then all pairs whose samples leave the threshold likely. The samples of the bands, which all texts have, tell which texts need a
+    # short sketch, as they have a likely partner, and short sketches which need a long one.
     placed = _relabelled(placed.drop("label", "largest"), labels)
     largest = placed.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(
         F.max(F.struct("n", "label"))["label"].alias("largest"), F.count(F.lit(1)).alias("labels")
     ).where("labels > 1").drop("labels")
-    sketches = sketches.join(keyed, "node")
-    placed = materialize(placed.join(largest, "bucket").join(sketches, "node"), "placed")
-    a = placed.where("label != largest").select("bucket", F.col("node").alias("a"), F.col("label").alias("la"), F.col("sketch").alias("sa"), F.col("keys").alias("ka"))
-    b = placed.select("bucket", F.col("node").alias("b"), F.col("label").alias("lb"), F.col("sketch").alias("sb"), F.col("keys").alias("kb"), "largest")
+    placed = materialize(placed.join(largest, "bucket").join(signed.select("node", "samples", keys.alias("keys")), "node"), "placed")
+
+    def sides(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+        names = [c for c in rows.columns if c != "largest"]
+        return rows.where("label != largest").select(*[F.col(c).alias(f"a_{c}") for c in names]), rows.select(
+            *[F.col(c).alias(f"b_{c}") for c in names], "largest"
+        )
+
     # A pair is looked at in the first of its buckets only.
-    first = F.col("bucket") == F.get("ka", (F.array_position(F.zip_with("ka", "kb", lambda x, y: x == y), True) - 1).cast("int"))
-    agree = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x))
-    open_pairs = a.join(b, "bucket").where(
-        (F.col("la") != F.col("lb")) & ((F.col("lb") == F.col("largest")) | (F.col("a") < F.col("b"))) & first & (agree >= least)
-    ).withColumn("agree", agree)
+    first = F.get("a_keys", (F.array_position(F.zip_with("a_keys", "b_keys", lambda x, y: x == y), True) - 1).cast("int"))
+    agree = F.size(F.filter(F.zip_with("a_samples", "b_samples", lambda x, y: x == y), lambda x: x))
+    met = (
+        (F.col("a_bucket") == F.col("b_bucket")) & (F.col("a_label") != F.col("b_label"))
+        & ((F.col("b_label") == F.col("largest")) | (F.col("a_node") < F.col("b_node"))) & (F.col("a_bucket") == first)
+        & (agree >= _least_agreement(BANDS * ROWS, threshold, 5))
+    )
+    likely, rows = met, placed
+    for size, deviations in SKETCHES:
+        a, b = sides(rows)
+        needed = a.join(b, likely, "left_semi").select(F.col("a_node").alias("node")).union(b.join(a, likely, "left_semi").select("b_node"))
+        needed = materialize(needed.distinct(), "needed")
+        sketches = features.join(needed, "node", "left_semi").mapInArrow(_sketcher(size), "node binary, sketch array<bigint>")
+        rows = materialize(placed.join(sketches, "node"), "sketches")
+        agree = _sketch_agreement("a_sketch", "b_sketch", size)
+        likely = met & (agree >= _least_agreement(size, threshold + (1 - threshold) / 16, deviations))
+    a, b = sides(rows)
+    open_pairs = a.join(b, likely).select(F.col("a_node").alias("a"), F.col("b_node").alias("b"), agree.alias("agree"))
     open_pairs = _ordered(open_pairs, "agree").distinct().join(tested, ["a", "b"], "left_anti")
     open_pairs = materialize(open_pairs, "open")
     each = 4

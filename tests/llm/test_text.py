@@ -129,6 +129,41 @@ def test_samples_agree_as_often_as_texts_are_alike():
     assert abs((both[0] == both[1]).mean() - want) < 0.04
 
 
+def test_few_texts_below_the_threshold_are_compared(spark, monkeypatch):
+    """All pairs of a group are some 0.72 alike: sketches rule most of them out before they are compared exactly."""
+    shared = [f"w{i}" for i in range(300)]
+    docs = spark.createDataFrame([(i, " ".join(shared + [f"own{i}x{j}" for j in range(33)])) for i in range(40)], "doc_id long, text string")
+    seen, real = [], near_dedup.materialize
+
+    def counting(df, name="step"):
+        out = real(df, name)
+        if name == "open":
+            seen.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_dedup, "materialize", counting)
+    got = near_dedup.near_duplicate_classes(docs).collect()
+    assert len({r.class_id for r in got}) == 40
+    assert seen[0] < 40 * 39 / 2 / 5
+
+
+def test_sketches_do_not_depend_on_their_neighbours(spark):
+    rng, mask = random.Random(3), (1 << 64) - (1 << near_dedup.WEIGHT_BITS)
+    sets = [sorted({rng.getrandbits(64) & mask | near_dedup.WEIGHT_STEP for _ in range(n)}) for n in (500, 1, 40_000, 3)]
+    sets.append(sorted([*sets[0][:450], *(rng.getrandbits(64) & mask | near_dedup.WEIGHT_STEP for _ in range(50))]))
+    rows = [(bytes([i]), np.array(x, np.uint64).tobytes()) for i, x in enumerate(sets)] + [(b"none", b"")]
+    rows = spark.createDataFrame(rows, "node binary, features binary")
+    sketch = near_dedup._sketcher(1024)
+    together = rows.coalesce(1).mapInArrow(sketch, "node binary, sketch array<bigint>")
+    alone = {bytes(r.node): r.sketch for r in rows.repartition(6, "node").mapInArrow(sketch, "node binary, sketch array<bigint>").collect()}
+    assert {bytes(r.node): r.sketch for r in together.collect()} == alone and len(alone) == 5
+    agree = near_dedup._sketch_agreement("a", "b", 1024).alias("n")
+    pairs = spark.createDataFrame([(alone[b"\0"], alone[bytes([i])]) for i in (0, 4, 1)], "a array<bigint>, b array<bigint>")
+    same, alike, other = [r.n for r in pairs.select(agree).collect()]
+    assert same == 1024 and other < 130
+    assert abs(alike / 1024 - (450 / 550 + 100 / 550 / 16)) < 0.06
+
+
 def test_near_edges(no_rows, clashing):
     assert near_dedup.near_duplicate_classes(no_rows).collect() == []
     got = near_dedup.drop_near_duplicates(clashing)
