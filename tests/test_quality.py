@@ -467,3 +467,20 @@ def test_few_rows_are_compared_by_whole_keys(spark, tmp_path):
     for df in (found, open_legs):
         text = df._jdf.queryExecution().optimizedPlan().toString()
         assert "LogicalRDD" not in text and "LocalRelation" not in text
+
+
+def _keyless(columns, rows, lone):
+    """Rows whose lineage key is an error where the condition holds: nobody may ask for it."""
+    def build(spark):
+        df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in columns))
+        own = raw.with_row_uid(df, TRANSACTIONS)
+        error = F.raise_error(F.lit("a key was made")).cast("string")
+        return own.withColumn("row_uid", F.coalesce(F.when(F.expr(lone), error).otherwise(F.col("row_uid")), F.lit("")))
+    return build
+
+
+def test_exact_copies_get_keys_only_where_ids_repeat(spark):
+    rows = [("t1", "d1", "5"), ("t1", "d1", "5"), ("t1", "d1", "6"), ("t2", "d2", "5"), (None, None, "7"), (None, None, "7"), (None, None, "8")]
+    df = _keyless(("transaction_id", "document_id", "amount"), rows, "transaction_id = 't2'")(spark)
+    found = [r.row_uid for r in uniqueness.exact_duplicates(df, TRANSACTIONS, "HIGH").collect()]
+    assert len(found) == 4 and len(set(found)) == 2
