@@ -484,3 +484,20 @@ def test_exact_copies_get_keys_only_where_ids_repeat(spark):
     df = _keyless(("transaction_id", "document_id", "amount"), rows, "transaction_id = 't2'")(spark)
     found = [r.row_uid for r in uniqueness.exact_duplicates(df, TRANSACTIONS, "HIGH").collect()]
     assert len(found) == 4 and len(set(found)) == 2
+
+
+def test_layers_of_a_tagged_ledger_get_keys_only_of_flagged_documents(spark):
+    """Cascade, counts and the validated layer: the same as without the tag."""
+    columns = ("document_id", "amount")
+    rows = [("d1", "5"), ("d1", "6"), ("d1", "6"), ("d2", "5"), ("d2", "5"), (None, "7"), (None, "8")]
+    plain = raw.with_row_uid(spark.createDataFrame(rows, "document_id string, amount string"), TRANSACTIONS)
+    flagged = plain.where("amount = '5' AND document_id = 'd1' OR amount = '7'").select("row_uid")
+    issues = flagged.select("row_uid", F.lit(TRANSACTIONS).alias("dataset"), F.lit("r").alias("validation_rule"), F.lit("HIGH").alias("severity"))
+    tagged = layers.with_document_tag(_keyless(columns, rows, "document_id = 'd2'")(spark))
+    near = scoring.flagged_documents(tagged, issues)
+    assert uids(scoring.cascade_issues(near, issues)) == uids(scoring.cascade_issues(plain, issues))
+    others = {n: raw.with_row_uid(spark.createDataFrame([("a",)], "x string"), n) for n in (RECEIVABLES, PAYABLES)}
+    counts = {r.dataset: (r.n_raw, r.n_validated, r.n_quarantined) for r in scoring.layer_counts({TRANSACTIONS: tagged, **others}, issues).collect()}
+    assert counts == {TRANSACTIONS: (7, 5, 2), RECEIVABLES: (1, 1, 0), PAYABLES: (1, 1, 0)}
+    kept = lambda df: sorted((r.document_id or "", r.amount) for r in scoring.validated_rows(df, issues).select("document_id", "amount").collect())
+    assert kept(tagged) == kept(plain) and len(kept(plain)) == 5
