@@ -67,3 +67,16 @@ def test_csv_files_are_compressed(spark, base):
     folder = _steps_folder(spark)
     files = [f for name in os.listdir(folder) if name.startswith("csv_") for _, _, names in os.walk(f"{folder}/{name}") for f in names]
     assert files and not [f for f in files if f.endswith(".csv")]
+
+
+def test_rules_scan_one_copy_of_the_invoices_in_many_files(spark, base, monkeypatch):
+    """Equal to the view, and split into files, which as many tasks read; the ledger itself is not written."""
+    monkeypatch.setattr("harness.books.ROWS_PER_FILE", 25)
+    books = Books(spark, base)
+    before = _written(spark)
+    copy = books.with_written_invoices()
+    assert copy is books.with_written_invoices() is copy.with_written_invoices()
+    assert len(copy["payables_due"].inputFiles()) >= 3 and len(books["payables_due"].inputFiles()) > 0
+    assert sorted(map(str, copy["payables_due"].collect())) == sorted(map(str, books["payables_due"].collect()))
+    legs = lambda b: sorted(r.row_uid for r in b["raw_transactions"].select("row_uid").collect())
+    assert legs(copy) == legs(books) and not (_written(spark) - before) & {"transactions", "raw_transactions"}
